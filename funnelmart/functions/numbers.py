@@ -6,22 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NUMERIC = ("int", "bigint", "decimal")
-
 
 def percentage(part: Column, whole: Column) -> Column:
     """``part / whole * 100`` to two places, halves away from zero; NULL when ``whole`` is zero.
 
-    Both are counts, so hundredths of a percent are found in whole numbers and nothing is rounded twice.
+    Both are counts, so hundredths of a percent come from whole-number division and nothing is rounded
+    twice.
     """
-    part, whole = part.cast("decimal(20,0)"), F.nullif(whole.cast("decimal(20,0)"), F.lit(0))
-    hundredths = F.floor((part * 20000 + whole) / (whole * 2))
-    return (hundredths.cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+    part, whole = part.cast("bigint"), F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
+    hundredths = F.call_function("div", part * 20000 + whole, whole * 2)
+    return (hundredths.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
 
 
 def average(total: Column, count: Column) -> Column:
-    """Mean of a decimal column from its sum and non-null count, with six places."""
-    return (total / F.nullif(count, F.lit(0)).cast("decimal(20,0)")).cast("decimal(22,6)")
+    """Mean of a two-place decimal column from its sum and non-null count, rounded once to six places."""
+    count = F.nullif(count, F.lit(0)).cast("decimal(20,0)")
+    return (total.cast("decimal(38,2)") / count).cast("decimal(22,6)")
 
 
 def count_where(condition: Column, weight: Column | None = None) -> Column:
@@ -29,10 +29,10 @@ def count_where(condition: Column, weight: Column | None = None) -> Column:
     return F.sum(F.when(condition, F.lit(1) if weight is None else weight).otherwise(F.lit(0)))
 
 
-def lenient_cast(value: Column, source: T.DataType, target: str) -> Column:
-    """Cast that turns unreadable values into NULL. Whole numbers may be written as ``12.0``."""
+def lenient_cast(value: str, source: T.DataType, target: str) -> str:
+    """SQL cast that turns unreadable values into NULL. Whole numbers may be written as ``12.0``."""
     if isinstance(source, T.StringType):
-        value = F.nullif(F.trim(value), F.lit("")) if target != "string" else value
+        value = f"nullif(trim({value}), '')"
         if target in ("int", "bigint"):
-            value = value.try_cast("decimal(38,6)")
-    return value.try_cast(target)
+            value = f"try_cast({value} as decimal(38,6))"
+    return f"try_cast({value} as {target})"

@@ -1,21 +1,28 @@
-"""Latest version of each entity."""
+"""First row of each group, and the latest version of each entity."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def first_per_group(rows: DataFrame, group: list[Column], order: list[Column]) -> DataFrame:
+    """The first row of each group. ``order`` must tell any two different rows of a group apart.
+
+    Because only rank 1 is kept, Spark prunes each map task to one row per group before the shuffle; a
+    group that holds very many rows therefore costs its reducer one row per map task.
+    """
+    rank = F.row_number().over(W.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
 def latest_versions(versions: DataFrame, entity: str, moments: list[str]) -> DataFrame:
     """One row per ``entity``: the one with the greatest first non-null of ``moments``.
 
-    Ties are settled by all other columns in ascending order, so two runs agree. Because only rank 1 is
-    kept, Spark prunes each map task to one row per entity before the shuffle; an entity with very many
-    versions therefore costs its reducer one row per map task.
+    Ties are settled by all other columns in ascending order, so two runs agree.
     """
     others = [c for c in versions.columns if c != entity]
     order = [F.coalesce(*[F.col(m) for m in moments]).desc_nulls_last()]
     order += [F.col(c).asc_nulls_first() for c in others]
-    rank = F.row_number().over(W.partitionBy(entity).orderBy(*order))
-    return versions.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return first_per_group(versions, [F.col(entity)], order)

@@ -1,8 +1,10 @@
 """Dimensions: distinct members of the staged tables, classified and numbered.
 
 Every plan reduces its staged column to distinct values first, so classification and numbering work on
-members, not rows. Raw labels are made distinct before labels differing only in case are merged: the
-first step is a hash aggregate without a buffer, whatever share of the rows one label holds.
+members, not rows. Raw labels are made distinct before spellings that differ only in case are merged:
+that first step is a plain hash aggregate, whatever share of the rows one label holds. Merging by
+``min`` per group would undo it, since Spark drops a ``distinct`` below a ``min`` and would then sort
+all rows for an aggregate over text; the smallest spelling is therefore taken by rank.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from funnelmart.functions import vocabulary as v
 from funnelmart.functions.text import family_value, first_match, flag, match_key, matches
 from funnelmart.operators.calendar import calendar
 from funnelmart.operators.dense_key import with_dense_key
+from funnelmart.operators.latest import first_per_group
 from funnelmart.schemas import DIMENSIONS
 from funnelmart.sources.exports import conform
 
@@ -32,12 +35,8 @@ def labels(staged: DataFrame, column: str, trim: bool = True, keep_blank: bool =
     distinct = staged.select(*identity, label.alias("label"))
     if not keep_blank:
         distinct = distinct.where("label is not null" + (" and label <> ''" if trim else ""))
-    return (
-        distinct.distinct()
-        .groupBy(*identity, F.lower("label"))
-        .agg(F.min("label").alias("label"))
-        .select(*identity, "label")
-    )
+    group = [*[F.col(c) for c in identity], F.lower("label")]
+    return first_per_group(distinct.distinct(), group, [F.asc("label")])
 
 
 def picker(index: int, *path: int) -> Callable:
@@ -50,7 +49,7 @@ def picker(index: int, *path: int) -> Callable:
     return pick
 
 
-def family_flags(key: Column, families, other, index: int, names: list[str]) -> list[Column]:
+def family_flags(key: str, families, other, index: int, names: list[str]) -> list[Column]:
     return [
         family_value(key, families, other, picker(index, i)).alias(name)
         for i, name in enumerate(names)
@@ -94,8 +93,8 @@ def lead_source(leads: DataFrame) -> DataFrame:
     key = match_key("label")
     return labels(leads, "lead_source").select(
         F.col("label").alias("raw_lead_source"),
-        first_match(key, v.LEAD_SOURCE_CLEAN, F.col("label")).alias("lead_source_clean"),
-        first_match(key, v.LEAD_SOURCE_GROUP, F.lit("OTHER")).alias("source_group"),
+        first_match(key, v.LEAD_SOURCE_CLEAN, "label").alias("lead_source_clean"),
+        first_match(key, v.LEAD_SOURCE_GROUP, "'OTHER'").alias("source_group"),
         *[flag(key, *rule).alias(name) for name, rule in v.LEAD_SOURCE_FLAGS.items()],
     )
 
@@ -105,11 +104,11 @@ def campaign(leads: DataFrame) -> DataFrame:
     clean = F.col("label")
     for old, new in v.CAMPAIGN_REPLACEMENTS:
         clean = F.replace(clean, F.lit(old), F.lit(new))
-    junk = F.col("label").isNull() | matches(key, v.CAMPAIGN_JUNK)
+    junk = F.expr(f"label is null or {matches(key, v.CAMPAIGN_JUNK)}")
     return labels(leads, "campaign", keep_blank=True).select(
         F.col("label").alias("raw_campaign"),
         F.when(junk, F.lit(v.CAMPAIGN_UNKNOWN)).otherwise(F.trim(clean)).alias("campaign_clean"),
-        first_match(key, v.CAMPAIGN_TYPE, F.lit("OTHER")).alias("campaign_type"),
+        first_match(key, v.CAMPAIGN_TYPE, "'OTHER'").alias("campaign_type"),
         *[flag(key, *rule).alias(name) for name, rule in v.CAMPAIGN_FLAGS.items()],
     )
 

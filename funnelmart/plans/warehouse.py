@@ -43,6 +43,7 @@ class Warehouse:
                 name, self.table("stg_leads"), self.table("stg_sales"), self.store.scratch(name)
             )
         if name == "fact_lead":
+            self.store_all(DIMENSIONS)
             return facts.fact_lead(self.table("stg_leads"), self.table)
         if name == "fact_sale":
             return facts.fact_sale(self.table("stg_sales"), self.table)
@@ -59,12 +60,13 @@ class Warehouse:
     def refresh(self) -> None:
         """Rewrite every table: exports, then dimensions side by side, then facts."""
         self._stored.clear()
-        for name in EXPORTS:
-            self.table(name)
+        for group in (EXPORTS, DIMENSIONS, ["fact_lead"], ["fact_sale"]):
+            self.store_all(group)
+
+    def store_all(self, names) -> None:
+        """Write tables that do not depend on each other, a few at a time."""
         with ThreadPoolExecutor(WRITERS) as writers:
-            list(writers.map(self.table, DIMENSIONS))
-        for name in ("fact_lead", "fact_sale"):
-            self.table(name)
+            list(writers.map(self.table, names))
 
     def reconciliation(self) -> DataFrame:
         """Row counts of each export and of its stored copy."""

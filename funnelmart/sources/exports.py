@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelmart.functions.numbers import lenient_cast
+from funnelmart.functions.text import literal
 from funnelmart.schemas import Table
 
 
@@ -40,17 +40,20 @@ def conform(rows: DataFrame, table: Table) -> DataFrame:
     Declared columns that ``rows`` lacks get their default or NULL, unless they are required.
     """
     columns = []
+    types = {field.name: field.dataType for field in rows.schema}
     for column in table.columns:
-        if column.name in rows.columns:
-            source = rows.schema[column.name].dataType
-            same = source.simpleString() == column.type
-            value = F.col(column.name)
-            value = value if same else lenient_cast(value, source, column.type)
+        value = f"`{column.name}`"
+        if column.name in types:
+            source = types[column.name]
+            if source.simpleString() != column.type:
+                value = lenient_cast(value, source, column.type)
             if column.default is not None:
-                value = F.coalesce(value, F.lit(column.default).cast(column.type))
-        elif column.required and column.default is None:
+                value = f"coalesce({value}, cast({literal(column.default)} as {column.type}))"
+        elif column.default is not None:
+            value = f"cast({literal(column.default)} as {column.type})"
+        elif column.required:
             raise ValueError(f"{table.name}: no column {column.name}")
         else:
-            value = F.lit(column.default).cast(column.type)
-        columns.append(value.alias(column.name))
-    return rows.select(*columns)
+            value = f"cast(null as {column.type})"
+        columns.append(f"{value} as `{column.name}`")
+    return rows.selectExpr(*columns)

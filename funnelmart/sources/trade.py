@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelmart.functions import vocabulary as v
-from funnelmart.schemas import RAW_LEADS, RAW_SALES
+from funnelmart.functions.text import literals
+from funnelmart.schemas import RAW_LEADS, RAW_SALES, Table
 from funnelmart.sources.exports import conform
 
 
@@ -99,15 +100,13 @@ SALE_COLUMNS = {
 }
 
 
-def from_vocabulary(vocabulary: list[str], index: str):
-    choices = F.array(*[F.lit(word) for word in vocabulary])
-    return F.get(choices, F.expr(index).cast("int"))
-
-
-def derive(rows: DataFrame, columns: dict, texts: dict, table) -> DataFrame:
-    chosen = [F.expr(sql).alias(name) for name, sql in columns.items()]
-    chosen += [from_vocabulary(*text).alias(name) for name, text in texts.items()]
-    return conform(rows.select(*chosen), table)
+def derive(rows: DataFrame, columns: dict, texts: dict, table: Table) -> DataFrame:
+    chosen = [f"{sql} as {name}" for name, sql in columns.items()]
+    chosen += [
+        f"get(array({literals(vocabulary)}), cast({index} as int)) as {name}"
+        for name, (vocabulary, index) in texts.items()
+    ]
+    return conform(rows.selectExpr(*chosen), table)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -173,7 +173,7 @@ def checks() -> dict[str, tuple[list[str], str]]:
     ]
     lengths = [
         f"select '{t.name}' as table_name, '{c.name}' as column_name, {c.length} as declared_length, "
-        f"max(length({c.name})) as longest, count(case when length({c.name}) > {c.length} then 1 end) "
+        f"cast(max(length({c.name})) as int) as longest, count(case when length({c.name}) > {c.length} then 1 end) "
         f"as too_long from {t.name}"
         for t in STAR.values()
         for c in t.columns

@@ -121,9 +121,10 @@ LOW_TRIM = "lower(trim(label))"
 
 DIM_DATE = f"""
 select cast(strftime(d, '%Y%m%d') as int) as date_key, cast(d as date) as full_date,
-  year(d) as year, quarter(d) as quarter, month(d) as month, monthname(d) as month_name,
-  day(d) as day_of_month, dayofweek(d) + 1 as day_of_week, dayname(d) as day_name,
-  weekofyear(d) as week_of_year, case when dayofweek(d) in (5, 6) then 1 else 0 end as is_weekend
+  cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month,
+  monthname(d) as month_name, cast(day(d) as int) as day_of_month,
+  cast(dayofweek(d) + 1 as int) as day_of_week, dayname(d) as day_name,
+  cast(weekofyear(d) as int) as week_of_year, case when dayofweek(d) in (5, 6) then 1 else 0 end as is_weekend
 from (select unnest(generate_series(timestamp '{v.CALENDAR_START}', timestamp '{v.CALENDAR_END}',
   interval 1 day)) as d)
 """
