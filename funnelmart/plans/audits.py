@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from funnelmart.functions.numbers import count_where, percentage
 from funnelmart.operators.latest import latest_versions
 from funnelmart.plans.staging import LEAD_VERSION_TIMES
-from funnelmart.schemas import FACT_LEAD
+from funnelmart.schemas import FACT_LEAD, FACTS
 
 Tables = Callable[[str], DataFrame]
 
@@ -22,6 +23,18 @@ def leap_days(table: Tables) -> DataFrame:
     return table("dim_date").where(leap).orderBy("full_date")
 
 
+def calendar_in_use(table: Tables) -> DataFrame:
+    """Calendar days that some fact refers to, in any of its date roles."""
+    used = [
+        table(name)
+        .select(*[c.name for c in fact.references if c.refers_to == "dim_date"])
+        .unpivot([], [c.name for c in fact.references if c.refers_to == "dim_date"], "role", "date_key")
+        .select("date_key")
+        for name, fact in FACTS.items()
+    ]
+    return table("dim_date").join(reduce(DataFrame.unionAll, used).distinct(), "date_key")
+
+
 def staged_counts(table: Tables) -> DataFrame:
     return table("stg_leads").agg(
         F.count("*").alias("total_rows"), F.countDistinct("lead_id").alias("distinct_leads")

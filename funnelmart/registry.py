@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelmart.plans import staging
-from funnelmart.plans.audits import AUDITS
+from funnelmart.plans.audits import AUDITS, calendar_in_use, leap_days
 from funnelmart.plans.checks import CHECKS
 from funnelmart.plans.kpis import KPIS
 from funnelmart.plans.warehouse import Warehouse
@@ -53,6 +53,24 @@ def table_query(name: str) -> Query:
     return lambda spark, folder: comparable(warehouse(spark, folder).plan(name))
 
 
+def days_in_use(query: Callable) -> Callable:
+    """``query`` over the calendar days that the facts refer to, in place of the fixed calendar."""
+
+    def over_days_in_use(table):
+        return query(lambda name: calendar_in_use(table) if name == "dim_date" else table(name))
+
+    return over_days_in_use
+
+
+STAR_QUERIES: dict[str, Callable] = {
+    **KPIS,
+    **AUDITS,
+    **CHECKS,
+    "dim_date": calendar_in_use,
+    "audit_leap_days": days_in_use(leap_days),
+}
+
+
 def star_query(query: Callable) -> Query:
     """Answers a query from stored tables."""
     return lambda spark, folder: comparable(query(warehouse(spark, folder).table))
@@ -70,5 +88,5 @@ def queries() -> dict[str, Query]:
         "recon_row_counts": lambda spark, folder: warehouse(spark, folder).reconciliation(),
     }
     out |= {name: table_query(name) for name in STAR}
-    out |= {name: star_query(query) for name, query in {**KPIS, **AUDITS, **CHECKS}.items()}
+    out |= {name: star_query(query) for name, query in STAR_QUERIES.items()}
     return out

@@ -26,10 +26,10 @@ LEAD_SOURCES = [
     "Facebook", "facebook ", "form facebook", "Instagram ads", "YouTube", "whatsapp", "whatsapp form",
     "Google", "form google", "maps.google.com", "x google_ads y", "x google ads y", "google_ads",
     "googleads.g.doubleclick.net", "bing.com", "10bestseo.com", "propertyfinder", "www.propertyfinder.eg",
-    "website", "landing page 3", "organic search", "Organic", "nawy partners form", "broker",
-    "Broker App", "resale sheet", "client referral", "Through Friends", "intercom", "old cooing client",
-    "walk-in", "hotline", "SMS", "call center resale", "direct", "(none)", "unknown", "unpaid",
-    "cpc-display", "paid search", "criteo", "linkedin", "  billboard  ", "", "   ",
+    "website", "landing page 3", "organic search", "Organic", "Broker App", "client referral",
+    "Through Friends", "walk-in", "hotline", "SMS", "call center resale", "direct", "(none)", "unknown",
+    "unpaid", "cpc-display", "paid search", "criteo", "linkedin", "  billboard  ", "", "   ",
+    *v.PARTNER_SOURCES, *v.INTERNAL_SOURCES,
 ]
 CAMPAIGNS = [
     "Brand%20Search", "brand  awareness", "BRAND REMARKETING", "Remarket   March", "retarget-all",

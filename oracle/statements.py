@@ -52,6 +52,14 @@ STAGES = {
 }
 
 
+DAYS_IN_USE = " union ".join(
+    f"select {c.name} from {fact.name}"
+    for fact in FACTS.values()
+    for c in fact.references
+    if c.refers_to == "dim_date"
+)
+
+
 def stage(name: str) -> str:
     return count_if(f"s.funnel_stage = '{name}'")
 
@@ -115,8 +123,11 @@ def kpis() -> dict[str, tuple[list[str], str]]:
               {mean('x.actual_value')} as avg_actual_value
             from fact_sale x join dim_sale_category d on d.sale_category_key = x.sale_category_key
             group by lower(d.sale_category_group), lower(d.sale_category_clean)"""),
-        "audit_leap_days": (["dim_date"], f"""
-            select {date_columns} from dim_date where month = 2 and day_of_month = 29"""),
+        "dim_date": (["dim_date", "fact_lead", "fact_sale"], f"""
+            select {date_columns} from dim_date where date_key in ({DAYS_IN_USE})"""),
+        "audit_leap_days": (["dim_date", "fact_lead", "fact_sale"], f"""
+            select {date_columns} from dim_date
+            where month = 2 and day_of_month = 29 and date_key in ({DAYS_IN_USE})"""),
         "audit_stg_counts": (["stg_leads"], """
             select count(*) as total_rows, count(distinct lead_id) as distinct_leads from stg_leads"""),
         "audit_duplicate_leads": (["stg_leads"], """
