@@ -12,7 +12,7 @@ from funnelmart.schemas import DIMENSIONS, STAR
 from funnelmart.sources.tables import TableStore, reconcile
 
 EXPORTS = ("raw_leads", "raw_sales")
-WRITERS = 4  # dimensions written at the same time
+WRITERS = 8  # dimensions written at the same time
 
 
 class Warehouse:

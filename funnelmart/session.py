@@ -18,6 +18,14 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# On one machine tables are small: with small row groups all cores can share in reading them.
+LOCAL_SETTINGS = {
+    "spark.ui.enabled": "false",
+    "spark.driver.memory": "12g",
+    "spark.hadoop.parquet.block.size": str(4 << 20),
+    "spark.sql.files.openCostInBytes": str(256 << 10),
+}
+
 _own_folders: dict[str, str] = {}
 
 
@@ -27,9 +35,8 @@ def local_session(cpus: int | str = "*", app: str = "funnelmart", **extra: str)
     partitions = "8" if cpus == "*" else str(cpus)
     for name, value in {
         **SETTINGS,
+        **LOCAL_SETTINGS,
         "spark.sql.shuffle.partitions": partitions,
-        "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g",
         **extra,
     }.items():
         builder = builder.config(name, value)
