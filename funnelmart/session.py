@@ -23,7 +23,6 @@ LOCAL_SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.driver.memory": "12g",
     "spark.hadoop.parquet.block.size": str(4 << 20),
-    "spark.sql.files.openCostInBytes": str(256 << 10),
 }
 
 _own_folders: dict[str, str] = {}
