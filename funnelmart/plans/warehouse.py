@@ -55,6 +55,7 @@ class Warehouse:
         with self._locks[name]:
             if name not in self._stored:
                 self._stored[name] = self.store.replace(name, self.plan(name))
+                self.store.clear_scratch(name)
             return self._stored[name]
 
     def refresh(self) -> None:

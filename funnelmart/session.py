@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
+from funnelmart.sources.tables import remove
+
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 SETTINGS = {
@@ -25,7 +26,7 @@ LOCAL_SETTINGS = {
     "spark.hadoop.parquet.block.size": str(4 << 20),
 }
 
-_own_folders: dict[str, str] = {}
+_folders: set[str] = set()
 
 
 def local_session(cpus: int | str = "*", app: str = "funnelmart", **extra: str) -> SparkSession:
@@ -45,17 +46,21 @@ def local_session(cpus: int | str = "*", app: str = "funnelmart", **extra: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as the session names it.
+    """The application's folder, which every executor can reach.
 
-    Only a local session may go without: it gets a folder of its own, gone when Python exits.
+    It lies in the folder that the session names in ``spark.checkpoint.dir``, else in the warehouse, and
+    is removed when Python exits.
     """
-    folder = spark.conf.get(SHARED_FOLDER, None)
-    application = spark.sparkContext.applicationId
-    if folder:
-        return f"{folder.rstrip('/')}/funnelmart/{application}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SHARED_FOLDER} to a folder shared by all executors")
-    if application not in _own_folders:
-        _own_folders[application] = tempfile.mkdtemp(prefix="funnelmart-")
-        atexit.register(shutil.rmtree, _own_folders[application], ignore_errors=True)
-    return _own_folders[application]
+    root = spark.conf.get(SHARED_FOLDER, None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/funnelmart/{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(remove_at_exit, spark, folder)
+    return folder
+
+
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    try:
+        remove(spark, folder)
+    except (Py4JError, OSError):  # the engine has ended first
+        pass

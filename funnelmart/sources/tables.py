@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 class TableStore:
     """Parquet tables under ``root``, a path every executor can reach."""
 
@@ -32,6 +38,13 @@ class TableStore:
         """A new folder for an intermediate result; no two calls share one."""
         return f"{self.root}/_scratch/{label}-{uuid.uuid4().hex}"
 
+    def clear_scratch(self, label: str) -> None:
+        """Remove the intermediate results of ``label``, once nothing reads them any more."""
+        folders = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_scratch/{label}-*")
+        files = folders.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        for found in files.globStatus(folders) or ():
+            files.delete(found.getPath(), True)
+
 
 def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """Row counts of source and target per table, and whether they agree."""
