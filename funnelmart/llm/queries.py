@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
+from funnelmart.llm.decontamination import op3_spaced_seed_decontamination
 from funnelmart.llm.mixing import op2_entropy_mixing
+from funnelmart.llm.near_dedup import op9_icws_near_dedup
+from funnelmart.llm.quality import op6_bradley_terry_quality
 from funnelmart.llm.sharding import op4_hypergeometric_sharding
+from funnelmart.llm.toxicity import op8_segment_toxicity
 
-QUERIES = {q.__name__: q for q in (op2_entropy_mixing, op4_hypergeometric_sharding)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op2_entropy_mixing,
+        op3_spaced_seed_decontamination,
+        op4_hypergeometric_sharding,
+        op6_bradley_terry_quality,
+        op8_segment_toxicity,
+        op9_icws_near_dedup,
+    )
+}
 SQL: dict[str, str] = {}
