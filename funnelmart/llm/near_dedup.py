@@ -15,10 +15,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from funnelmart.llm.components import components
-from funnelmart.llm.store import Rounds, Scratch, bounded_batches, col, free_name, text_of
+from funnelmart.llm.store import Rounds, Scratch, bounded_batches, broadcast_if, col, free_name, text_of
 from funnelmart.llm.words import U64, hash_words, mixed, shingles
 
 WORDS = 5  # words of a shingle
@@ -27,7 +28,10 @@ BANDS, SAMPLES = 10, 4  # a pair at 0.8 is missed in all bands with a probabilit
 CLASS_BITS = 20  # shingles are counted in this many hash classes, so the counts have a fixed size
 LEAST_SHARE = 1 / 500  # shingles in fewer documents weigh alike; it lies well above the load of a class
 SLICE = 1 << 14  # counters in one row of a partial count
-SMALL_GROUP = 8  # groups of candidates up to this size are compared pair by pair
+PIVOTS = 8  # members of a group that all others are compared with; four times as many in each further round
+LIKELY = 16  # agreeing samples, of 40, from which a pair is compared exactly; at 0.8 fewer have a chance of 1e-8
+NEAR = 24  # the same for pairs that only a third document brings together
+BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
 COLUMNS = 1 << 11  # shingles sampled at a time
 
@@ -138,36 +142,33 @@ def count_shingles(documents: DataFrame, text: str) -> Weights:
 
 
 def signatures(stored: DataFrame, row: str, text: str, weights: Weights) -> DataFrame:
-    """Per document with words: its row, a key of its words in order, and a key per band."""
+    """Per document with words: its row, a key of its words in order, and its samples."""
     sent = stored.sparkSession.sparkContext.broadcast(weights)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows, first, second, bands = [], [], [], []
+            rows, first, second, samples = [], [], [], []
             for at, words in zip(pdf["row"].tolist(), hash_words(pdf["text"].tolist())):
                 if not len(words):
                     continue
                 spots = mixed(np.arange(1, len(words) + 1, dtype=U64))
-                drawn = sample(*sent.value.of(words), BANDS * SAMPLES).reshape(BANDS, SAMPLES)
-                keys = mixed((drawn * mixed(np.arange(1, SAMPLES + 1, dtype=U64))).sum(axis=1))
-                keys = mixed(keys + np.arange(BANDS, dtype=U64) * U64(STEP))
                 rows.append(at)
                 first.append(int(mixed(words ^ spots).sum().astype(np.int64)))
                 second.append(int(mixed(words * (spots | U64(1))).sum().astype(np.int64)))
-                bands.append(keys.view(np.int64))
-            yield pd.DataFrame({"row": rows, "key_a": first, "key_b": second, "bands": bands})
+                drawn = sample(*sent.value.of(words), BANDS * SAMPLES)
+                samples.append((drawn >> U64(32)).astype(np.uint32).view(np.int32))
+            yield pd.DataFrame({"row": rows, "key_a": first, "key_b": second, "samples": samples})
 
     return stored.select(F.col(row).alias("row"), text_of(text).alias("text")).mapInPandas(
-        sign, "row bigint, key_a bigint, key_b bigint, bands array<bigint>"
+        sign, "row bigint, key_a bigint, key_b bigint, samples array<int>"
     )
 
 
-def compare(pairs: DataFrame, stored: DataFrame, row: str, text: str, weights: Weights) -> DataFrame:
-    """``pairs`` (a, b) with their exact similarity, as ``sim``."""
-    sent = stored.sparkSession.sparkContext.broadcast(weights)
-    texts = stored.select(F.col(row).alias("row"), text_of(text).alias("text"))
+def compare(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """``pairs`` (a, b) with their exact similarity, as ``sim``; ``texts`` has ``row`` and ``text``."""
+    sent = texts.sparkSession.sparkContext.broadcast(weights)
     full = (
-        pairs.join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.select("a", "b").join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
@@ -185,49 +186,101 @@ def compare(pairs: DataFrame, stored: DataFrame, row: str, text: str, weights: W
     return full.mapInPandas(measure, "a bigint, b bigint, sim double")
 
 
-def linked_pairs(grouped: DataFrame, verify, threshold: float, scratch: Scratch) -> DataFrame:
-    """Links (a, b) among the members of candidate groups (grp, member), enough to join all that are linked.
-
-    Small groups are compared pair by pair. In a larger group every member is compared with the group's
-    smallest, the leader, which joins those within reach. Members that are not go on as a group of their
-    own, with a leader of their own. One minus the similarity is a metric, so a member y that is out of
-    reach of the leader can only be linked to a joined member x if their distances to the leader differ by
-    no more than the reach; just these pairs are compared too. So no class is split, and a group of n near
-    copies costs n comparisons instead of n * n / 2.
+def agreeing(pairs: DataFrame, signed: DataFrame, least: int) -> DataFrame:
+    """``pairs`` (a, b) with ``agree``, the number of equal samples, where that is ``least`` or more."""
+    a = signed.select(F.col("row").alias("a"), F.col("samples").alias("samples_a"))
+    b = signed.select(F.col("row").alias("b"), F.col("samples").alias("samples_b"))
+    same = F.aggregate(
+        F.zip_with("samples_a", "samples_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
+    )
+    return pairs.join(a, "a").join(b, "b").select("a", "b", same.alias("agree")).where(F.col("agree") >= least)
+
+
+class Linker:
+    """Finds links among candidates, and keeps the components they form."""
+
+    def __init__(self, stored: DataFrame, row: str, text: str, signed: DataFrame, weights: Weights,
+                 threshold: float, scratch: Scratch):
+        self.texts = stored.select(F.col(row).alias("row"), text_of(text).alias("text"))
+        self.signed, self.weights, self.threshold, self.scratch = signed, weights, threshold, scratch
+        self.links: DataFrame | None = None
+        self.parts: DataFrame | None = None
+
+    def component(self, rows: DataFrame, name: str, out: str) -> DataFrame:
+        """``rows`` with the component of the node in column ``name``."""
+        if self.parts is None:
+            return rows.withColumn(out, F.col(name))
+        parts = self.parts.select(F.col("node").alias(name), F.col("component").alias("_component"))
+        return rows.join(parts, name, "left").withColumn(out, F.coalesce("_component", name)).drop("_component")
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Compare ``pairs`` exactly and take those in reach as links."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+        texts = self.texts.join(broadcast_if(ends, BROADCAST_ROWS), "row", "left_semi")
+        measured = self.scratch.keep(compare(pairs, texts, self.weights), "measured")
+        links = measured.where(F.col("sim") >= self.threshold).select("a", "b")
+        self.links = links if self.links is None else self.links.unionAll(links)
+        self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
+
+    def link(self, likely: DataFrame) -> None:
+        """Compare likely pairs (a, b, agree), unless their ends are known to be joined already.
+
+        First every b is compared with the one it agrees with most; that settles nearly all. Then come all
+        pairs whose ends are still apart.
+        """
+        best = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agree"), "a"))
+        for first in (True, False):
+            apart = self.component(self.component(likely, "a", "_a"), "b", "_b").where("_a <> _b")
+            if first:
+                apart = apart.withColumn("_rank", best).where("_rank = 1")
+            pairs = self.scratch.keep(apart.select("a", "b"), "pairs")
+            if not pairs.isEmpty():
+                self.verify(pairs)
+
+
+def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
+    """Link the members of candidate groups (grp, member) so that no class is split.
+
+    Every member of a group is compared with the group's first few members, its pivots; groups that are no
+    larger are thereby compared pair by pair. Members that no pivot is joined with go on as a smaller group, with
+    more pivots. Two members that are joined with different pivots, or one with none, can only be links
+    if the pivot of one is not far from the other, since one minus the similarity is a metric; just these pairs
+    are compared too. So n near copies cost about n comparisons, not n * n / 2, and no candidate is
+    dropped for the size of its group.
     """
-    reach = 1 - threshold + 1e-9
     rounds = Rounds(scratch, "groups")
-    links, state = [], rounds.keep(grouped)
+    signed = linker.signed
+    state, pivots = rounds.keep(grouped), PIVOTS
     while True:
-        sized = state.groupBy("grp").agg(F.min("member").alias("leader"), F.count("*").alias("n")).where("n > 1")
-        members = state.join(sized, "grp")
-        small = members.where(F.col("n") <= SMALL_GROUP).select("grp", "member")
-        by_pair = small.join(small.withColumnRenamed("member", "other"), "grp").where("member < other")
-        pairs = by_pair.select(F.col("member").alias("a"), F.col("other").alias("b"))
-        large = members.where(F.col("n") > SMALL_GROUP)
-        by_leader = large.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b"))
-        measured = scratch.keep(verify(pairs.unionAll(by_leader).distinct()), "measured")
-        links.append(measured.where(F.col("sim") >= threshold).select("a", "b"))
-
-        known = large.where("member <> leader").join(
-            measured.select(F.col("a").alias("leader"), F.col("b").alias("member"), "sim"), ["leader", "member"]
+        sized = state.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
+        members = scratch.keep(state.join(sized, "grp"), "members")
+        if members.isEmpty():
+            return
+        rank = F.row_number().over(W.partitionBy("grp").orderBy("member"))
+        heads = scratch.keep(
+            members.select("grp", F.col("member").alias("a"), rank.alias("rank")).where(F.col("rank") <= pivots).select("grp", "a"),
+            "heads",
         )
-        known = scratch.keep(known.select("grp", "leader", "member", (1 - F.col("sim")).alias("far")), "known")
-        out = known.where(F.col("far") > reach)
-        state = rounds.keep(out.select(F.xxhash64("grp", "leader").alias("grp"), "member"))
-        near_out = out.where(F.col("far") <= 2 * reach).select("grp", F.col("member").alias("y"), F.col("far").alias("y_far"))
-        joined = known.where(F.col("far") <= reach).select("grp", F.col("member").alias("x"), F.col("far").alias("x_far"))
-        across = near_out.join(joined, "grp").where(F.col("y_far") - F.col("x_far") <= reach)
-        across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        if not near_out.isEmpty():
-            checked = scratch.keep(verify(across), "across")
-            links.append(checked.where(F.col("sim") >= threshold).select("a", "b"))
-        if state.isEmpty():
-            break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionAll(more)
-    return out.distinct()
+        met = members.select("grp", F.col("member").alias("b")).join(heads, "grp").where("a < b")
+        likely = scratch.keep(agreeing(met.select("a", "b").distinct(), signed, LIKELY), "likely")
+        linker.link(likely)
+
+        large = members.where(F.col("n") > pivots).select("grp", "member")
+        placed = scratch.keep(linker.component(large, "member", "part"), "placed")
+        tops = linker.component(heads, "a", "part")
+        halfway = linker.component(linker.component(likely, "a", "part"), "b", "other").where("part <> other")
+        border = heads.join(halfway.select("a", F.col("b").alias("y"), "part"), "a").select("grp", "part", "y").distinct()
+        border = border.join(placed.select("grp", "part", F.col("member").alias("x")), ["grp", "part"])
+        border = border.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        border = scratch.keep(agreeing(border, signed, NEAR), "border")
+        if not border.isEmpty():
+            linker.link(border)
+            placed = linker.component(large, "member", "part")
+            tops = linker.component(heads, "a", "part")
+        state = rounds.keep(
+            placed.join(tops.select("grp", "part").distinct(), ["grp", "part"], "left_anti").select("grp", "member")
+        )
+        pivots *= 4
 
 
 def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
@@ -240,15 +293,14 @@ def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
     copies = scratch.keep(
         signed.select("row", "key_a", "key_b").join(copies, ["key_a", "key_b"]).select("row", "first"), "copies"
     )
-    distinct = signed.join(copies.where("row = first").select("row"), "row", "left_semi")
-    grouped = distinct.select(F.col("row").alias("member"), F.explode("bands").alias("grp")).select("grp", "member")
-    links = linked_pairs(
-        grouped, lambda pairs: compare(pairs, stored, row, text, weights), threshold, scratch
-    )
-    joined = scratch.keep(components(links, scratch), "classes")
-    return copies.join(joined.withColumnRenamed("node", "first"), "first", "left").select(
-        "row", F.coalesce("component", "first").alias("class")
-    )
+    distinct = signed.join(copies.where("row = first").select("row"), "row", "left_semi").select("row", "samples")
+    distinct = scratch.keep(distinct, "distinct")
+    bands = [F.xxhash64(F.lit(i), F.slice("samples", 1 + i * SAMPLES, SAMPLES)) for i in range(BANDS)]
+    grouped = distinct.select(F.explode(F.array(*bands)).alias("grp"), F.col("row").alias("member"))
+    linker = Linker(stored, row, text, distinct, weights, threshold, scratch)
+    link_groups(grouped, linker, scratch)
+    found = copies.withColumnRenamed("first", "node")
+    return linker.component(found, "node", "class").select("row", "class")
 
 
 def decide(documents: DataFrame, scratch: Scratch, text: str, identity: str,

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelmart.session import shared_folder
+from funnelmart.session import let_workers_import, shared_folder
 from funnelmart.sources.tables import remove
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -18,6 +18,7 @@ class Scratch:
     """Parquet tables that cut lineage; what is read from them no longer depends on lost executors."""
 
     def __init__(self, spark: SparkSession):
+        let_workers_import(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
 
@@ -53,6 +54,7 @@ class Rounds:
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Limit the rows of an Arrow batch, so that a batch of long texts fits in a Python worker."""
+    let_workers_import(spark)
     if int(spark.conf.get(BATCH_SETTING)) not in range(1, rows + 1):
         spark.conf.set(BATCH_SETTING, str(rows))
 
@@ -73,3 +75,8 @@ def col(name: str) -> Column:
 def text_of(name: str) -> Column:
     """A text column with null read as empty."""
     return F.coalesce(col(name).cast("string"), F.lit(""))
+
+
+def broadcast_if(rows: DataFrame, most: int) -> DataFrame:
+    """``rows``, marked for broadcast if counting them shows no more than ``most``."""
+    return F.broadcast(rows) if rows.count() <= most else rows

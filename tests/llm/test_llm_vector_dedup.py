@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+
+from funnelmart.llm import vector_dedup as vd
+
+VECTORS = "vec_id bigint, embedding array<float>, label int, node int, `row` string"
+
+
+def brute(rows, threshold=vd.COSINE):
+    """n_links and smallest reachable id per row, by comparing all pairs in double precision."""
+    n = len(rows)
+    units = []
+    for _, vec, label in rows:
+        good = vec is not None and label is not None and len(vec) and all(x is not None and math.isfinite(x) for x in vec)
+        v = np.array(vec, dtype=np.float32).astype(np.float64) if good else None
+        units.append(v / np.linalg.norm(v) if good and np.abs(v).max() > 0 else None)
+    near = [[] for _ in rows]
+    for a in range(n):
+        for b in range(n):
+            if a != b and units[a] is not None and units[b] is not None and rows[a][2] == rows[b][2] \
+                    and len(units[a]) == len(units[b]) and units[a] @ units[b] >= threshold:
+                near[a].append(b)
+    out = []
+    for a in range(n):
+        seen, todo = {a}, [a]
+        while todo:
+            for b in near[todo.pop()]:
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        out.append((rows[a][0], len(near[a]), min((rows[i][0] for i in seen if rows[i][0] is not None), default=None)))
+    return out
+
+
+def run(spark, scratch, rows):
+    frame = spark.createDataFrame([(*r, 0, "x") for r in rows], VECTORS).repartition(4)
+    return vd.linked_vectors(frame, scratch)
+
+
+def table(seed=0, n=260, dims=32):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        rows.append((i, rng.normal(size=dims).astype(np.float32).tolist(), int(rng.integers(0, 3))))
+        if i % 4 == 1:
+            base = np.array(rows[i - 1][1])
+            rows[-1] = (i, (base + rng.choice([0.0, 0.1, 0.3, 0.5]) * rng.normal(size=dims)).astype(np.float32).tolist(), rows[i - 1][2])
+    return rows
+
+
+def test_links_agree_with_all_pairs(spark, scratch):
+    rows = table()
+    found = run(spark, scratch, rows).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+    assert {r["recall"] for r in found} == {1.0}
+
+
+def test_cells_and_chunks_lose_nothing(spark, scratch, monkeypatch):
+    monkeypatch.setattr(vd, "CELL", 30)
+    monkeypatch.setattr(vd, "CHUNK", 16)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=16)
+    rows = table(1, 200, 16) + [(1000 + i, (centre + 0.12 * rng.normal(size=16)).astype(np.float32).tolist(), 1) for i in range(60)]
+    found = {r["vec_id"]: r["n_links"] for r in run(spark, scratch, rows).collect()}
+    truth = {i: n for i, n, _ in brute(rows)}
+    assert set(found) == set(truth) and all(found[i] <= truth[i] for i in truth)
+    assert sum(found.values()) >= 0.97 * sum(truth.values())
+
+
+def test_odd_vectors(spark, scratch):
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [1.0, 0.0], None), (5, None, 1), (6, [0.0, 0.0], 1),
+        (7, [1.0, None], 1), (8, [float("nan"), 1.0], 1), (9, [float("inf"), 1.0], 1), (10, [], 1), (11, [1.0], 1),
+        (12, [1.0, 0.0], 1), (12, [1.0, 0.0], 1), (None, [1.0, 0.001], 1), (13, [1e30, 0.0], 1), (14, [-1.0, 0.0], 1),
+    ]
+    found = run(spark, scratch, rows).collect()
+    key = lambda t: tuple((x is None, x) for x in t)
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in found), key=key) == sorted(brute(rows), key=key)
+    assert run(spark, scratch, rows[:0]).count() == 0
+
+
+def test_hot_vector_is_one_node(spark, scratch):
+    rows = [(i, [1.0, 2.0, 3.0], 5) for i in range(400)] + [(500, [1.0, 2.0, 3.1], 5), (501, [3.0, -2.0, 0.0], 5)]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in run(spark, scratch, rows).collect()}
+    assert found[0] == (400, 0, True) and found[399] == (400, 0, False)
+    assert found[500] == (400, 0, False) and found[501] == (0, 501, True)
+
+
+def test_search_from_medoids_alone_finds_what_is_in_range():
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(600, 32))
+    base[300:400] = base[0] + 0.15 * rng.normal(size=(100, 32))
+    x = vd.unit(base)
+    truth = x @ x.T >= vd.COSINE
+    got = vd.search(x, np.full(len(x), -1), x, vd.build_graph(x), vd.COSINE)
+    assert not (got & ~truth).any()
+    assert (got & truth).sum() >= 0.95 * truth.sum()
