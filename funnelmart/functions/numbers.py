@@ -30,9 +30,14 @@ def count_where(condition: Column, weight: Column | None = None) -> Column:
 
 
 def lenient_cast(value: str, source: T.DataType, target: str) -> str:
-    """SQL cast that turns unreadable values into NULL. Whole numbers may be written as ``12.0``."""
+    """SQL cast that turns unreadable values into NULL.
+
+    Whole numbers may be written as ``12.0``; a fraction is rounded, halves away from zero.
+    """
     if isinstance(source, T.StringType):
         value = f"nullif(trim({value}), '')"
         if target in ("int", "bigint"):
             value = f"try_cast({value} as decimal(38,6))"
+    if target in ("int", "bigint") and isinstance(source, (T.StringType, T.FractionalType)):
+        value = f"round({value}, 0)"
     return f"try_cast({value} as {target})"

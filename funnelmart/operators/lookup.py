@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 32 << 20  # largest dimension that is sent whole to every executor
+BROADCAST_BYTES = 64 << 20  # all dimensions together that are sent whole to every executor
 HOT_SHARE = 1 / 200  # a key with more than this share of the rows is looked up apart
-SPREAD = 4096  # buckets over which rows without a shuffle partner are spread
 KEY_BYTES = 16  # match value and key of one fixed-width row
 
 
@@ -42,14 +41,14 @@ def attach_keys(
 ) -> DataFrame:
     """``rows`` with one key column per lookup; NULL where nothing matches.
 
-    Every source is measured first. Up to ``broadcast_bytes`` it is broadcast. Beyond that, the hot
-    match values, at most 1 / HOT_SHARE of them, are found in ``profile`` (rows distributed like
-    ``rows``, by default ``rows`` itself) and looked up in a broadcast of just those members; all other
-    rows meet the source in a shuffle join. Rows that need no partner there, hot or NULL, are spread by
-    ``spread_by`` instead of meeting in the task of the NULL key.
+    Planning runs jobs: every source is measured first. The smallest are broadcast as long as they come to
+    no more than ``broadcast_bytes`` together. For the others the hot match values, at most
+    1 / HOT_SHARE of them, are found in ``profile`` (rows distributed like ``rows``, by default ``rows``
+    itself) and looked up in a broadcast of just those members; all other rows meet the source in a
+    shuffle join. Rows that need no partner there, hot or NULL, are spread by ``spread_by`` instead of
+    meeting in the task of the NULL key.
     """
-    sizes = measure(lookups)
-    large = [x for x in lookups if sizes[x.alias] > broadcast_bytes]
+    large = beyond(lookups, measure(lookups), broadcast_bytes)
     hot = hot_values(rows if profile is None else profile, large) if large else {}
     for lookup in sorted(lookups, key=lambda x: x in large):
         if lookup in large:
@@ -59,6 +58,16 @@ def attach_keys(
     return rows
 
 
+def beyond(lookups: list[Lookup], sizes: dict[str, int], limit: int) -> list[Lookup]:
+    """The lookups that no longer fit when the smaller ones are broadcast first."""
+    total, large = 0, []
+    for lookup in sorted(lookups, key=lambda x: sizes[x.alias]):
+        total += sizes[lookup.alias]
+        if total > limit:
+            large.append(lookup)
+    return large
+
+
 def measure(lookups: list[Lookup]) -> dict[str, int]:
     """Bytes of match values and keys per lookup, found in one job."""
     totals = []
@@ -104,12 +113,9 @@ def shuffle_lookup(rows: DataFrame, lookup: Lookup, hot: list, spread_by: str) -
     type_ = pairs.schema["_match"].dataType
     rows = rows.withColumn("_wanted", wanted.cast(type_)).withColumn(
         "_bucket",
-        F.pmod(
-            F.when(F.col("_wanted").isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64("_wanted")),
-            F.lit(SPREAD),
-        ),
+        F.when(F.col("_wanted").isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64("_wanted")),
     )
-    pairs = pairs.withColumn("_match_bucket", F.pmod(F.xxhash64("_match"), F.lit(SPREAD)))
+    pairs = pairs.withColumn("_match_bucket", F.xxhash64("_match"))
     joined = rows.join(
         pairs,
         (F.col("_wanted") == F.col("_match")) & (F.col("_bucket") == F.col("_match_bucket")),

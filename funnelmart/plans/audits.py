@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,16 +22,18 @@ def leap_days(table: Tables) -> DataFrame:
     return table("dim_date").where(leap).orderBy("full_date")
 
 
-def calendar_in_use(table: Tables) -> DataFrame:
-    """Calendar days that some fact refers to, in any of its date roles."""
-    used = [
-        table(name)
-        .select(*[c.name for c in fact.references if c.refers_to == "dim_date"])
-        .unpivot([], [c.name for c in fact.references if c.refers_to == "dim_date"], "role", "date_key")
-        .select("date_key")
-        for name, fact in FACTS.items()
-    ]
-    return table("dim_date").join(reduce(DataFrame.unionAll, used).distinct(), "date_key")
+def calendar_use(table: Tables) -> DataFrame:
+    """All calendar days, with how often leads (``lead_dates``) and sales (``sale_dates``) refer to each.
+
+    Every date role of a fact counts. References are counted per day before the join.
+    """
+    days = table("dim_date")
+    for name, alias in (("fact_lead", "lead_dates"), ("fact_sale", "sale_dates")):
+        roles = [c.name for c in FACTS[name].references if c.refers_to == "dim_date"]
+        used = table(name).select(*roles).unpivot([], roles, "role", "date_key")
+        counts = used.where("date_key is not null").groupBy("date_key").agg(F.count("*").alias(alias))
+        days = days.join(counts, "date_key", "left").withColumn(alias, F.coalesce(alias, F.lit(0).cast("bigint")))
+    return days
 
 
 def staged_counts(table: Tables) -> DataFrame:

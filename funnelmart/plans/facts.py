@@ -64,10 +64,13 @@ def latest_leads(leads: DataFrame) -> DataFrame:
 
 
 def fact_lead(leads: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``table`` gives stored dimensions by name."""
+    """``table`` gives stored dimensions by name.
+
+    Hot values are sought among the latest leads, the rows that are joined: a customer may hold many
+    leads of one version each, and so be rare among versions.
+    """
     rows = attach_keys(
-        latest_leads(leads), lookups(LEAD_LOOKUPS, table), "lead_id",
-        profile=leads, broadcast_bytes=broadcast_bytes,
+        latest_leads(leads), lookups(LEAD_LOOKUPS, table), "lead_id", broadcast_bytes=broadcast_bytes
     )
     for name, source in (("is_buyer", "buyer"), ("is_seller", "seller"), ("is_commercial", "commercial")):
         rows = rows.withColumn(name, F.when(F.col(source) == 1, 1).otherwise(0))

@@ -124,7 +124,7 @@ def agent_lead_to_sale(table: Tables, broadcast_bytes: int = BROADCAST_BYTES) ->
 
     The percentage counts the rows of leads left-joined to sales: a lead with several sales appears
     that often, one without a sale once. Those rows are counted, not made: unsold leads need no join at
-    all, sold ones are first reduced to one row per lead.
+    all, and sales meet their leads once.
     """
     leads = table("fact_lead").groupBy("agent_key").agg(F.count("lead_id").alias("total_leads"))
     agent = Lookup("agent_key", table("fact_lead").where("agent_key is not null"),
@@ -133,23 +133,14 @@ def agent_lead_to_sale(table: Tables, broadcast_bytes: int = BROADCAST_BYTES) ->
         table("fact_sale").select("sale_id", "lead_id"), [agent], "sale_id",
         broadcast_bytes=broadcast_bytes,
     ).where("agent_key is not null")
-    sold = (
-        sales.groupBy("agent_key", "lead_id")
-        .agg(F.count("*").alias("rows"), F.count("sale_id").alias("sales"))
-        .groupBy("agent_key")
-        .agg(
-            F.sum("rows").alias("sold_rows"),
-            F.sum("sales").alias("matched_sales"),
-            F.count("*").alias("sold_leads"),
-        )
+    sold = sales.groupBy("agent_key").agg(
+        F.count("*").alias("sold_rows"),
+        F.count("sale_id").alias("matched_sales"),
+        F.countDistinct("lead_id").alias("sold_leads"),
+        F.countDistinct("sale_id").alias("total_sales"),
     )
-    distinct = sales.groupBy("agent_key").agg(F.countDistinct("sale_id").alias("total_sales"))
     zero = F.lit(0).cast("bigint")
-    joined = (
-        leads.join(sold, "agent_key", "left")
-        .join(distinct, "agent_key", "left")
-        .join(table("dim_agent"), "agent_key")
-    )
+    joined = leads.join(sold, "agent_key", "left").join(table("dim_agent"), "agent_key")
     rows = F.col("total_leads") - F.coalesce("sold_leads", zero) + F.coalesce("sold_rows", zero)
     return joined.select(
         F.col("user_id").alias("agent"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from funnelmart.plans import dimensions, facts, staging
 from funnelmart.schemas import DIMENSIONS, STAR
+from funnelmart.sources.exports import MALFORMED
 from funnelmart.sources.tables import TableStore, reconcile
 
 EXPORTS = ("raw_leads", "raw_sales")
@@ -31,7 +32,7 @@ class Warehouse:
 
     def plan(self, name: str) -> DataFrame:
         if name in EXPORTS:
-            return self.exports[name]
+            return self.exports[name].drop(MALFORMED)
         if name == "stg_leads":
             return staging.stage_leads(self.table("raw_leads"))
         if name == "stg_sales":
@@ -58,10 +59,19 @@ class Warehouse:
                 self.store.clear_scratch(name)
             return self._stored[name]
 
-    def refresh(self) -> None:
-        """Rewrite every table: exports, then dimensions side by side, then facts."""
+    def refresh(self, allow_rejected: bool = False) -> None:
+        """Rewrite every table: exports, then dimensions side by side, then facts.
+
+        Stops after the exports if some records are malformed or without an id, or were not stored, unless
+        ``allow_rejected``.
+        """
         self._stored.clear()
-        for group in (EXPORTS, DIMENSIONS, ["fact_lead"], ["fact_sale"]):
+        self.store_all(EXPORTS)
+        if not allow_rejected:
+            bad = self.reconciliation().where("complete = 0 or malformed_rows > 0 or null_ids > 0").collect()
+            if bad:
+                raise ValueError("exports with unusable records: " + "; ".join(str(row.asDict()) for row in bad))
+        for group in (DIMENSIONS, ["fact_lead"], ["fact_sale"]):
             self.store_all(group)
 
     def store_all(self, names) -> None:
@@ -70,7 +80,7 @@ class Warehouse:
             list(writers.map(self.table, names))
 
     def reconciliation(self) -> DataFrame:
-        """Row counts of each export and of its stored copy."""
+        """Row counts of each export and of its stored copy, and the export's unusable records."""
         return reconcile({name: (self.exports[name], self.table(name)) for name in EXPORTS})
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import os
+from pathlib import Path
 
 from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
@@ -45,6 +47,18 @@ def local_session(cpus: int | str = "*", app: str = "funnelmart", **extra: str)
     return spark
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Have Python workers look for this package where the driver found it.
+
+    Needed where it is neither installed nor on the workers' path; a cluster gets it by ``--py-files``.
+    """
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parent.parent)
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The application's folder, which every executor can reach.
 

@@ -2,49 +2,94 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelmart.functions.numbers import lenient_cast
 from funnelmart.functions.text import literal
 from funnelmart.schemas import Table
 
+MALFORMED = "_malformed"  # 1 for a record that does not have the shape of its file
+RAW = "_raw_record"
+JSON_PEEK = 100  # records whose names tell how a JSON export spells its columns
+
 
-def read_export(spark: SparkSession, path: str, table: Table, format: str = "parquet") -> DataFrame:
-    """Rows of an export file or folder, in the declared columns and types.
+def read_export(spark: SparkSession, path: str, table: Table, format: str = "parquet",
+                multi_line: bool = False, fill_missing: bool = False) -> DataFrame:
+    """Rows of an export file or folder, in the declared columns and types, and a column ``_malformed``.
 
-    CSV has a header line; its columns are found by name, so their order and extra columns do not
-    matter. Values that do not fit a column's type become NULL.
+    Columns are found by name, whatever their case, so their order and extra columns do not matter. A
+    declared column that the export lacks is an error, unless ``fill_missing`` asks for NULLs. JSON
+    records may leave out empty values, so there a column is lacking only if none of the first JSON_PEEK
+    records names it. Values that do not fit a column's type become NULL. CSV has a header line;
+    ``multi_line`` allows line breaks within quotes, and has each file read by one task. Without it such
+    a record is broken into pieces, which ``_malformed`` marks.
     """
     if format == "csv":
-        names = read_header(spark, path)
-        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        rows = (
-            spark.read.schema(text)
-            .options(header=True, multiLine=False, escape='"', enforceSchema=False)
-            .csv(path)
-        )
+        options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
+        rows = spark.read.schema(as_text(header(spark, path, options))).options(**options)
+        rows = rows.option("columnNameOfCorruptRecord", RAW).csv(path)
+    elif format == "json":
+        rows = spark.read.schema(as_text(json_names(spark, path)))
+        rows = rows.option("columnNameOfCorruptRecord", RAW).json(path)
     else:
         rows = spark.read.format(format).load(path)
-    return conform(rows, table)
+    absent = set(table.names) - set(spelled(rows, table))
+    if absent and not fill_missing:
+        raise ValueError(f"{table.name}: {path} has no column {', '.join(sorted(absent))}")
+    broken = F.col(RAW).isNotNull().cast("int") if RAW in rows.columns else F.lit(0)
+    marked = rows.withColumn(MALFORMED, broken)
+    return conform(marked, table, MALFORMED)
+
+
+def as_text(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in [*names, RAW]])
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def header(spark: SparkSession, path: str, options: dict) -> list[str]:
     """Column names of a CSV export; reads its first line only."""
-    return spark.read.options(header=True, inferSchema=False).csv(path).columns
+    return spark.read.options(**options).csv(path).columns
+
+
+def json_names(spark: SparkSession, path: str) -> list[str]:
+    """Names used by the first records of a JSON export, in place of an inference over all of them."""
+    names: dict[str, None] = {}
+    for row in spark.read.text(path).limit(JSON_PEEK).collect():
+        try:
+            record = json.loads(row["value"])
+        except ValueError:  # a malformed record, counted later
+            continue
+        if isinstance(record, dict):
+            names |= dict.fromkeys(record)
+    return list(names)
+
+
+def spelled(rows: DataFrame, table: Table) -> dict[str, str]:
+    """How ``rows`` spells each declared column that it has; an exact match goes before one in another case."""
+    found: dict[str, str] = {}
+    for name in rows.columns:
+        for declared in table.names:
+            if name == declared or (name.lower() == declared.lower() and found.get(declared) != declared):
+                found[declared] = name
+    return found
 
 
-def conform(rows: DataFrame, table: Table) -> DataFrame:
+def conform(rows: DataFrame, table: Table, *more: str) -> DataFrame:
     """The declared columns in declared order, leniently cast, with defaults in place of NULLs.
 
-    Declared columns that ``rows`` lacks get their default or NULL, unless they are required.
+    Declared columns that ``rows`` lacks get their default or NULL, unless they are required. Columns
+    named in ``more`` follow as they are.
     """
     columns = []
     types = {field.name: field.dataType for field in rows.schema}
+    names = spelled(rows, table)
     for column in table.columns:
-        value = f"`{column.name}`"
-        if column.name in types:
-            source = types[column.name]
+        if column.name in names:
+            value = f"`{names[column.name]}`"
+            source = types[names[column.name]]
             if source.simpleString() != column.type:
                 value = lenient_cast(value, source, column.type)
             if column.default is not None:
@@ -56,4 +101,4 @@ def conform(rows: DataFrame, table: Table) -> DataFrame:
         else:
             value = f"cast(null as {column.type})"
         columns.append(f"{value} as `{column.name}`")
-    return rows.selectExpr(*columns)
+    return rows.selectExpr(*columns, *more)

@@ -46,19 +46,32 @@ class TableStore:
             files.delete(found.getPath(), True)
 
 
-def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Row counts of source and target per table, and whether they agree."""
+COUNTS = ("source_rows", "target_rows", "malformed_rows", "null_ids")
+
+
+def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]], identity: str = "id",
+              malformed: str = "_malformed") -> DataFrame:
+    """Row counts of source and target per table, and whether they agree.
+
+    Also counts the source's records marked in column ``malformed``, if it has one, and those without an
+    ``identity``.
+    """
     counts = []
     for name, (source, target) in pairs.items():
-        for rows, own, other in ((source, "source_rows", "target_rows"), (target, "target_rows", "source_rows")):
-            counts.append(
-                rows.agg(F.count("*").alias(own))
-                .withColumn(other, F.lit(0).cast("bigint"))
-                .select(F.lit(name).alias("table_name"), "source_rows", "target_rows")
-            )
+        broken = F.sum(malformed) if malformed in source.columns else F.lit(0)
+        of_source = {
+            "source_rows": F.count("*"), "malformed_rows": F.coalesce(broken, F.lit(0)),
+            "null_ids": F.count("*") - F.count(identity),
+        }
+        for rows, known in ((source, of_source), (target, {"target_rows": F.count("*")})):
+            counted = rows.agg(*[v.cast("bigint").alias(k) for k, v in known.items()])
+            counts.append(counted.select(
+                F.lit(name).alias("table_name"),
+                *[F.col(c) if c in known else F.lit(0).cast("bigint").alias(c) for c in COUNTS],
+            ))
     return (
         reduce(DataFrame.unionAll, counts)
         .groupBy("table_name")
-        .agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"))
+        .agg(*[F.sum(c).alias(c) for c in COUNTS])
         .withColumn("complete", (F.col("source_rows") == F.col("target_rows")).cast("int"))
     )

@@ -109,12 +109,15 @@ def derive(rows: DataFrame, columns: dict, texts: dict, table: Table) -> DataFra
     return conform(rows.selectExpr(*chosen), table)
 
 
+TABLES = ("lineitem", "orders", "customer")
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def raw_leads(spark: SparkSession, folder: str) -> DataFrame:
-    lines, orders, customers = (read(spark, folder, t) for t in ("lineitem", "orders", "customer"))
+    lines, orders, customers = (read(spark, folder, t) for t in TABLES)
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )

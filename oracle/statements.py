@@ -52,12 +52,15 @@ STAGES = {
 }
 
 
-DAYS_IN_USE = " union ".join(
-    f"select {c.name} from {fact.name}"
-    for fact in FACTS.values()
-    for c in fact.references
-    if c.refers_to == "dim_date"
-)
+def days_with_use(columns: str) -> str:
+    """The calendar, with the number of references to each day from either fact."""
+    counts = []
+    for name, alias in (("fact_lead", "lead_dates"), ("fact_sale", "sale_dates")):
+        roles = [c.name for c in FACTS[name].references if c.refers_to == "dim_date"]
+        used = " union all ".join(f"select {r} as day from {name}" for r in roles)
+        counts.append(f"left join (select day, count(*) as n from ({used}) group by day) {alias} on {alias}.day = d.date_key")
+    return (f"select {columns}, coalesce(lead_dates.n, 0) as lead_dates, coalesce(sale_dates.n, 0) as sale_dates "
+            f"from dim_date d {' '.join(counts)}")
 
 
 def stage(name: str) -> str:
@@ -123,11 +126,9 @@ def kpis() -> dict[str, tuple[list[str], str]]:
               {mean('x.actual_value')} as avg_actual_value
             from fact_sale x join dim_sale_category d on d.sale_category_key = x.sale_category_key
             group by lower(d.sale_category_group), lower(d.sale_category_clean)"""),
-        "dim_date": (["dim_date", "fact_lead", "fact_sale"], f"""
-            select {date_columns} from dim_date where date_key in ({DAYS_IN_USE})"""),
+        "dim_date": (["dim_date", "fact_lead", "fact_sale"], days_with_use(date_columns)),
         "audit_leap_days": (["dim_date", "fact_lead", "fact_sale"], f"""
-            select {date_columns} from dim_date
-            where month = 2 and day_of_month = 29 and date_key in ({DAYS_IN_USE})"""),
+            {days_with_use(date_columns)} where month = 2 and day_of_month = 29"""),
         "audit_stg_counts": (["stg_leads"], """
             select count(*) as total_rows, count(distinct lead_id) as distinct_leads from stg_leads"""),
         "audit_duplicate_leads": (["stg_leads"], """
@@ -206,7 +207,8 @@ def statements() -> dict[str, str]:
         "latest_lead": whole(RAW_LEADS, "latest_lead", "lead_id"),
         "recon_row_counts": with_tables(["raw_leads", "raw_sales"], " union all ".join(
             f"select '{t}' as table_name, count(*) as source_rows, count(*) as target_rows, "
-            f"1 as complete from {t}" for t in ("raw_leads", "raw_sales"))),
+            f"1 as complete, 0 as malformed_rows, cast(count(*) filter (id is null) as bigint) as null_ids from {t}"
+            for t in ("raw_leads", "raw_sales"))),
     }
     out |= {name: whole(table, name) for name, table in STAR.items()}
     out |= {k: with_tables(needed, sql) for k, (needed, sql) in {**kpis(), **checks()}.items()}

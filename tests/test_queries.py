@@ -10,7 +10,7 @@ import duckdb
 import pytest
 
 import verify
-from funnelmart.plans.audits import AUDITS
+from funnelmart.plans.audits import AUDITS, calendar_use
 from funnelmart.plans.checks import CHECKS
 from funnelmart.plans.kpis import KPIS, agent_lead_to_sale
 from funnelmart.plans import facts
@@ -112,6 +112,7 @@ def test_table(messy, name):
 
 def test_whole_calendar(messy, monkeypatch):
     wh, con = messy
+    assert len(agree(con, "dim_date", calendar_use(wh.table))) == 11323
     whole_calendar = {"dim_date": whole(STAR["dim_date"], "dim_date")}
     monkeypatch.setattr(f"{__name__}.statements", lambda: whole_calendar)
     assert len(agree(con, "dim_date", wh.table("dim_date"))) == 11323
