@@ -29,8 +29,7 @@ CLASS_BITS = 20  # shingles are counted in this many hash classes, so the counts
 LEAST_SHARE = 1 / 500  # shingles in fewer documents weigh alike; it lies well above the load of a class
 SLICE = 1 << 14  # counters in one row of a partial count
 PIVOTS = 8  # members of a group that all others are compared with; four times as many in each further round
-LIKELY = 16  # agreeing samples, of 40, from which a pair is compared exactly; at 0.8 fewer have a chance of 1e-8
-NEAR = 24  # the same for pairs that only a third document brings together
+LIKELY = 18  # agreeing samples, of 40, from which a pair is compared exactly; at 0.8 fewer have a chance of 1e-7
 BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
 COLUMNS = 1 << 11  # shingles sampled at a time
@@ -219,6 +218,8 @@ class Linker:
         texts = self.texts.join(broadcast_if(ends, BROADCAST_ROWS), "row", "left_semi")
         measured = self.scratch.keep(compare(pairs, texts, self.weights), "measured")
         links = measured.where(F.col("sim") >= self.threshold).select("a", "b")
+        if links.isEmpty():
+            return
         self.links = links if self.links is None else self.links.unionAll(links)
         self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
 
@@ -272,7 +273,7 @@ def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
         border = heads.join(halfway.select("a", F.col("b").alias("y"), "part"), "a").select("grp", "part", "y").distinct()
         border = border.join(placed.select("grp", "part", F.col("member").alias("x")), ["grp", "part"])
         border = border.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        border = scratch.keep(agreeing(border, signed, NEAR), "border")
+        border = scratch.keep(agreeing(border, signed, LIKELY), "border")
         if not border.isEmpty():
             linker.link(border)
             placed = linker.component(large, "member", "part")
