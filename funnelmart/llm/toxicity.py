@@ -25,10 +25,10 @@ STEMS = (5, 4)  # bytes; a word that was not seen in toxic texts is scored by it
 PRIOR_DOCUMENTS = 10.0  # weight of the corpus in the prior, in documents
 FLAT = 0.5  # and of nothing at all
 CAUTION = 2.0  # standard deviations by which a log-odds is moved toward 0
-DRIFT = 0.1  # taken off each word's score
+DRIFT = 0.8  # taken off each word's score, so that a long ordinary text does not add up to a passage
 LEAST_TOXIC = 2  # toxic documents a token must occur in to be scored by itself
 K = 0.1  # scale of the extreme-value law; what it is off by, the calibration on labels takes up
-MOST_CHANCE = 0.01  # expected number of such segments by chance up to which one is significant
+MOST_CHANCE = 0.1  # expected number of such segments by chance up to which one is significant
 PREDICT = 0.7
 FILTER_BITS = 20
 PASSAGES = "array<struct<start: int, words: int, score: double, chance: double>>"
