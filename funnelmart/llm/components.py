@@ -10,21 +10,31 @@ from funnelmart.llm.store import Rounds, Scratch
 MOST_ROUNDS = 60
 
 
+def stars(links: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = links.select("u", F.lit(1).alias("as_u"), F.lit(0).alias("as_v")).unionAll(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    counted = ends.groupBy("u").agg(F.sum("as_u").alias("as_u"), F.max("as_v").alias("as_v"))
+    return counted.where("as_u > 1 or (as_u = 1 and as_v = 1)").isEmpty()
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``node`` and ``component``, the smallest node it reaches, for every node of ``links`` (a, b).
 
     Alternating stars: every node first links its larger neighbours, then its smaller ones, to the
-    smallest node it knows, until nothing changes. Neighbourhoods are never collected: a round takes a
-    minimum per node, which is added up before the shuffle, and joins it back. The rounds needed grow with
-    the logarithm of the longest path.
+    smallest node it knows, until all links are stars: every node but the centres has one link, to a
+    centre. Neighbourhoods are never collected: a round takes a minimum per node, which is added up before
+    the shuffle, and joins it back. The rounds needed grow with the logarithm of the longest path.
     """
     rounds = Rounds(scratch, "links")
     links = links.where("a is not null and b is not null and a <> b")
     state = rounds.keep(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    before = None
     for _ in range(MOST_ROUNDS):
+        if stars(state):
+            break
         both = state.unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -36,10 +46,6 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .unionAll(small.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct()
         )
-        seen = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if seen == before:
-            break
-        before = seen
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionAll(roots)

@@ -30,6 +30,7 @@ LEAST_SHARE = 1 / 500  # shingles in fewer documents weigh alike; it lies well a
 SLICE = 1 << 14  # counters in one row of a partial count
 PIVOTS = 8  # members of a group that all others are compared with; four times as many in each further round
 LIKELY = 18  # agreeing samples, of 40, from which a pair is compared exactly; at 0.8 fewer have a chance of 1e-7
+SLACK = 1e-9  # for rounding, on a distance
 BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
 COLUMNS = 1 << 11  # shingles sampled at a time
@@ -212,31 +213,53 @@ class Linker:
         parts = self.parts.select(F.col("node").alias(name), F.col("component").alias("_component"))
         return rows.join(parts, name, "left").withColumn(out, F.coalesce("_component", name)).drop("_component")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Compare ``pairs`` exactly and take those in reach as links."""
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The ``pairs`` (a, b) whose ends are in different components."""
+        return self.component(self.component(pairs, "a", "_a"), "b", "_b").where("_a <> _b").drop("_a", "_b")
+
+    def verify(self, pairs: DataFrame) -> DataFrame:
+        """Compare ``pairs`` (a, b) exactly, take those in reach as links; the pairs with ``far``, one minus the similarity."""
         ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
         texts = self.texts.join(broadcast_if(ends, BROADCAST_ROWS), "row", "left_semi")
-        measured = self.scratch.keep(compare(pairs, texts, self.weights), "measured")
-        links = measured.where(F.col("sim") >= self.threshold).select("a", "b")
-        if links.isEmpty():
-            return
-        self.links = links if self.links is None else self.links.unionAll(links)
-        self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
+        compared = compare(pairs, texts, self.weights).select("a", "b", (1 - F.col("sim")).alias("far"))
+        measured = self.scratch.keep(compared, "measured")
+        links = self.in_reach(measured).select("a", "b")
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.links.unionAll(links)
+            self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
+        return measured
 
-    def link(self, likely: DataFrame) -> None:
-        """Compare likely pairs (a, b, agree), unless their ends are known to be joined already.
+    def in_reach(self, measured: DataFrame) -> DataFrame:
+        return measured.where(F.col("far") <= 1 - self.threshold + SLACK)
 
-        First every b is compared with the one it agrees with most; that settles nearly all. Then come all
+    def link(self, likely: DataFrame) -> DataFrame:
+        """Compare likely pairs (a, b, agree), unless their ends are joined already; the pairs compared.
+
+        First every b is compared with the a it agrees with most; that settles nearly all. Then come all
         pairs whose ends are still apart.
         """
-        best = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agree"), "a"))
-        for first in (True, False):
-            apart = self.component(self.component(likely, "a", "_a"), "b", "_b").where("_a <> _b")
-            if first:
-                apart = apart.withColumn("_rank", best).where("_rank = 1")
-            pairs = self.scratch.keep(apart.select("a", "b"), "pairs")
-            if not pairs.isEmpty():
-                self.verify(pairs)
+        rank = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agree"), "a"))
+        best = self.apart(likely).withColumn("rank", rank).where("rank = 1").select("a", "b")
+        measured = self.verify(self.scratch.keep(best, "best"))
+        rest = self.apart(likely).select("a", "b").join(measured, ["a", "b"], "left_anti")
+        rest = self.scratch.keep(rest, "rest")
+        return measured if rest.isEmpty() else measured.unionAll(self.verify(rest))
+
+    def link_across(self, measured: DataFrame) -> None:
+        """Compare what the distances in ``measured`` leave possible between members of different components.
+
+        One minus the similarity is a metric. If x is joined with a and y is not, x and y can only be a link
+        if y is no more than the reach farther from a than x is.
+        """
+        reach = 1 - self.threshold + SLACK
+        x = self.in_reach(measured).select("a", F.col("b").alias("x"), F.col("far").alias("x_far"))
+        y = self.apart(measured.where((F.col("far") > reach) & (F.col("far") <= 2 * reach)))
+        y = y.select("a", F.col("b").alias("y"), F.col("far").alias("y_far"))
+        pairs = y.join(x, "a").where(F.col("y_far") - F.col("x_far") <= reach)
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        pairs = self.scratch.keep(agreeing(self.apart(pairs), self.signed, LIKELY).select("a", "b"), "across")
+        if not pairs.isEmpty():
+            self.verify(pairs)
 
 
 def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
@@ -244,13 +267,10 @@ def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
 
     Every member of a group is compared with the group's first few members, its pivots; groups that are no
     larger are thereby compared pair by pair. Members that no pivot is joined with go on as a smaller group, with
-    more pivots. Two members that are joined with different pivots, or one with none, can only be links
-    if the pivot of one is not far from the other, since one minus the similarity is a metric; just these pairs
-    are compared too. So n near copies cost about n comparisons, not n * n / 2, and no candidate is
-    dropped for the size of its group.
+    more pivots. What else could link is found by distance (``Linker.link_across``). So n near copies cost
+    about n comparisons, not n * n / 2, and no candidate is dropped for the size of its group.
     """
     rounds = Rounds(scratch, "groups")
-    signed = linker.signed
     state, pivots = rounds.keep(grouped), PIVOTS
     while True:
         sized = state.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
@@ -258,29 +278,15 @@ def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
         if members.isEmpty():
             return
         rank = F.row_number().over(W.partitionBy("grp").orderBy("member"))
-        heads = scratch.keep(
-            members.select("grp", F.col("member").alias("a"), rank.alias("rank")).where(F.col("rank") <= pivots).select("grp", "a"),
-            "heads",
-        )
+        heads = members.select("grp", F.col("member").alias("a"), rank.alias("rank")).where(F.col("rank") <= pivots)
+        heads = scratch.keep(heads.select("grp", "a"), "heads")
         met = members.select("grp", F.col("member").alias("b")).join(heads, "grp").where("a < b")
-        likely = scratch.keep(agreeing(met.select("a", "b").distinct(), signed, LIKELY), "likely")
-        linker.link(likely)
-
-        large = members.where(F.col("n") > pivots).select("grp", "member")
-        placed = scratch.keep(linker.component(large, "member", "part"), "placed")
-        tops = linker.component(heads, "a", "part")
-        halfway = linker.component(linker.component(likely, "a", "part"), "b", "other").where("part <> other")
-        border = heads.join(halfway.select("a", F.col("b").alias("y"), "part"), "a").select("grp", "part", "y").distinct()
-        border = border.join(placed.select("grp", "part", F.col("member").alias("x")), ["grp", "part"])
-        border = border.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        border = scratch.keep(agreeing(border, signed, LIKELY), "border")
-        if not border.isEmpty():
-            linker.link(border)
-            placed = linker.component(large, "member", "part")
-            tops = linker.component(heads, "a", "part")
-        state = rounds.keep(
-            placed.join(tops.select("grp", "part").distinct(), ["grp", "part"], "left_anti").select("grp", "member")
-        )
+        likely = scratch.keep(agreeing(met.select("a", "b").distinct(), linker.signed, LIKELY), "likely")
+        if not likely.isEmpty():
+            linker.link_across(linker.link(likely))
+        large = linker.component(members.where(F.col("n") > pivots).select("grp", "member"), "member", "part")
+        settled = linker.component(heads, "a", "part").select("grp", "part").distinct()
+        state = rounds.keep(large.join(settled, ["grp", "part"], "left_anti").select("grp", "member"))
         pivots *= 4
 
 
