@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from funnelmart.llm.components import components
-from funnelmart.llm.store import Rounds, Scratch, bounded_batches, broadcast_if, col, free_name, text_of
+from funnelmart.llm.store import Scratch, bounded_batches, broadcast_if, col, free_name, text_of
 from funnelmart.llm.words import U64, hash_words, mixed, shingles
 
 WORDS = 5  # words of a shingle
@@ -28,8 +28,10 @@ BANDS, SAMPLES = 10, 4  # a pair at 0.8 is missed in all bands with a probabilit
 CLASS_BITS = 20  # shingles are counted in this many hash classes, so the counts have a fixed size
 LEAST_SHARE = 1 / 500  # shingles in fewer documents weigh alike; it lies well above the load of a class
 SLICE = 1 << 14  # counters in one row of a partial count
-PIVOTS = 8  # members of a group that all others are compared with; four times as many in each further round
-LIKELY = 18  # agreeing samples, of 40, from which a pair is compared exactly; at 0.8 fewer have a chance of 1e-7
+PIVOTS = 4  # members of a candidate group that all others are compared with first
+FINE = 128  # samples by which candidates are told from others before texts are compared
+LIKELY = 86  # of them must agree; at a similarity of 0.8 fewer do with a chance of 0.05 %
+BLOCK = 1024  # members of a group compared with as many others in one task
 SLACK = 1e-9  # for rounding, on a distance
 BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
@@ -186,23 +188,81 @@ def compare(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     return full.mapInPandas(measure, "a bigint, b bigint, sim double")
 
 
-def agreeing(pairs: DataFrame, signed: DataFrame, least: int) -> DataFrame:
-    """``pairs`` (a, b) with ``agree``, the number of equal samples, where that is ``least`` or more."""
-    a = signed.select(F.col("row").alias("a"), F.col("samples").alias("samples_a"))
-    b = signed.select(F.col("row").alias("b"), F.col("samples").alias("samples_b"))
+def fine_samples(texts: DataFrame, weights: Weights) -> DataFrame:
+    """``row`` and FINE samples of each of these documents (``row``, ``text``)."""
+    sent = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            drawn = [
+                (sample(*sent.value.of(words), FINE) >> U64(32)).astype(np.uint32).view(np.int32)
+                for words in hash_words(pdf["text"].tolist())
+            ]
+            yield pd.DataFrame({"row": pdf["row"], "fine": drawn})
+
+    return texts.mapInPandas(draw, "row bigint, fine array<int>")
+
+
+def agreeing(pairs: DataFrame, fine: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with ``agree``, the number of equal samples, where that is LIKELY or more."""
+    a = fine.select(F.col("row").alias("a"), F.col("fine").alias("fine_a"))
+    b = fine.select(F.col("row").alias("b"), F.col("fine").alias("fine_b"))
     same = F.aggregate(
-        F.zip_with("samples_a", "samples_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
+        F.zip_with("fine_a", "fine_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x
     )
-    return pairs.join(a, "a").join(b, "b").select("a", "b", same.alias("agree")).where(F.col("agree") >= least)
+    return pairs.join(a, "a").join(b, "b").select("a", "b", same.alias("agree")).where(F.col("agree") >= LIKELY)
+
+
+def agreeing_across(placed: DataFrame, fine: DataFrame) -> DataFrame:
+    """Likely pairs (a, b, agree) between members of different parts of the same group.
+
+    ``placed`` has ``grp``, ``member`` and ``part``. Members outside a group's largest part are compared with all members of the
+    group, in blocks: a task gets at most some BLOCK of either, and gives only the pairs that agree.
+    """
+    sizes = placed.groupBy("grp", "part").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("grp").agg(
+        F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("all")
+    ).select("grp", F.col("top.part").alias("top"), "all", (F.col("all") - F.col("top.n")).alias("few")).where("few > 0")
+    blocks = largest.select(
+        "grp", "top", F.ceil(F.col("few") / BLOCK).alias("ys"), F.ceil(F.col("all") / BLOCK).alias("xs")
+    )
+    dealt = placed.join(blocks, "grp").join(fine.withColumnRenamed("row", "member"), "member")
+    ys = dealt.where("part <> top").select(
+        "grp", F.lit(True).alias("asks"), "member", "part", "fine", F.pmod(F.xxhash64("member"), "ys").alias("y"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("xs") - 1)).alias("x"),
+    )
+    xs = dealt.select(
+        "grp", F.lit(False).alias("asks"), "member", "part", "fine",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ys") - 1)).alias("y"),
+        F.pmod(F.xxhash64("member"), "xs").alias("x"),
+    )
+
+    def compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        asks = pdf["asks"].to_numpy()
+        found = [pd.DataFrame({"a": [], "b": [], "agree": []}, dtype=np.int64)]
+        if asks.any() and not asks.all():
+            y, x = pdf[asks], pdf[~asks]
+            one, two = np.stack(y["fine"].to_list()), np.stack(x["fine"].to_list())
+            agree = np.zeros((len(y), len(x)), dtype=np.uint8)
+            for i in range(one.shape[1]):
+                agree += one[:, i, None] == two[None, :, i]
+            apart = y["part"].to_numpy()[:, None] != x["part"].to_numpy()[None, :]
+            i, j = np.nonzero((agree >= LIKELY) & apart)
+            p, q = y["member"].to_numpy()[i], x["member"].to_numpy()[j]
+            found.append(pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q), "agree": agree[i, j].astype(np.int64)}))
+        return pd.concat(found)
+
+    return ys.unionAll(xs).groupBy("grp", "y", "x").applyInPandas(
+        compare_blocks, "a bigint, b bigint, agree bigint"
+    ).distinct()
 
 
 class Linker:
     """Finds links among candidates, and keeps the components they form."""
 
-    def __init__(self, stored: DataFrame, row: str, text: str, signed: DataFrame, weights: Weights,
-                 threshold: float, scratch: Scratch):
+    def __init__(self, stored: DataFrame, row: str, text: str, weights: Weights, threshold: float, scratch: Scratch):
         self.texts = stored.select(F.col(row).alias("row"), text_of(text).alias("text"))
-        self.signed, self.weights, self.threshold, self.scratch = signed, weights, threshold, scratch
+        self.weights, self.threshold, self.scratch = weights, threshold, scratch
         self.links: DataFrame | None = None
         self.parts: DataFrame | None = None
 
@@ -217,77 +277,59 @@ class Linker:
         """The ``pairs`` (a, b) whose ends are in different components."""
         return self.component(self.component(pairs, "a", "_a"), "b", "_b").where("_a <> _b").drop("_a", "_b")
 
+    def texts_of(self, rows: DataFrame) -> DataFrame:
+        """The texts of these rows (``row``)."""
+        return self.texts.join(broadcast_if(rows, BROADCAST_ROWS), "row", "left_semi")
+
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Compare ``pairs`` (a, b) exactly, take those in reach as links; the pairs with ``far``, one minus the similarity."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-        texts = self.texts.join(broadcast_if(ends, BROADCAST_ROWS), "row", "left_semi")
-        compared = compare(pairs, texts, self.weights).select("a", "b", (1 - F.col("sim")).alias("far"))
-        measured = self.scratch.keep(compared, "measured")
-        links = self.in_reach(measured).select("a", "b")
+        """Compare ``pairs`` (a, b) exactly and take those in reach as links; the pairs compared."""
+        pairs = self.scratch.keep(pairs.select("a", "b"), "pairs")
+        if pairs.isEmpty():
+            return pairs
+        texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+        measured = self.scratch.keep(compare(pairs, texts, self.weights), "measured")
+        links = measured.where(F.col("sim") >= self.threshold).select("a", "b")
         if not links.isEmpty():
             self.links = links if self.links is None else self.links.unionAll(links)
             self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
-        return measured
+        return pairs
 
-    def in_reach(self, measured: DataFrame) -> DataFrame:
-        return measured.where(F.col("far") <= 1 - self.threshold + SLACK)
-
-    def link(self, likely: DataFrame) -> DataFrame:
-        """Compare likely pairs (a, b, agree), unless their ends are joined already; the pairs compared.
+    def link(self, likely: DataFrame) -> None:
+        """Compare likely pairs (a, b, agree), unless their ends are joined already.
 
         First every b is compared with the a it agrees with most; that settles nearly all. Then come all
         pairs whose ends are still apart.
         """
         rank = F.row_number().over(W.partitionBy("b").orderBy(F.desc("agree"), "a"))
-        best = self.apart(likely).withColumn("rank", rank).where("rank = 1").select("a", "b")
-        measured = self.verify(self.scratch.keep(best, "best"))
-        rest = self.apart(likely).select("a", "b").join(measured, ["a", "b"], "left_anti")
-        rest = self.scratch.keep(rest, "rest")
-        return measured if rest.isEmpty() else measured.unionAll(self.verify(rest))
-
-    def link_across(self, measured: DataFrame) -> None:
-        """Compare what the distances in ``measured`` leave possible between members of different components.
-
-        One minus the similarity is a metric. If x is joined with a and y is not, x and y can only be a link
-        if y is no more than the reach farther from a than x is.
-        """
-        reach = 1 - self.threshold + SLACK
-        x = self.in_reach(measured).select("a", F.col("b").alias("x"), F.col("far").alias("x_far"))
-        y = self.apart(measured.where((F.col("far") > reach) & (F.col("far") <= 2 * reach)))
-        y = y.select("a", F.col("b").alias("y"), F.col("far").alias("y_far"))
-        pairs = y.join(x, "a").where(F.col("y_far") - F.col("x_far") <= reach)
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = self.scratch.keep(agreeing(self.apart(pairs), self.signed, LIKELY).select("a", "b"), "across")
-        if not pairs.isEmpty():
-            self.verify(pairs)
+        tried = self.verify(self.apart(likely).withColumn("rank", rank).where("rank = 1"))
+        self.verify(self.apart(likely).join(tried, ["a", "b"], "left_anti"))
 
 
 def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
     """Link the members of candidate groups (grp, member) so that no class is split.
 
-    Every member of a group is compared with the group's first few members, its pivots; groups that are no
-    larger are thereby compared pair by pair. Members that no pivot is joined with go on as a smaller group, with
-    more pivots. What else could link is found by distance (``Linker.link_across``). So n near copies cost
-    about n comparisons, not n * n / 2, and no candidate is dropped for the size of its group.
+    Every member of a group is first compared with the group's pivots, members that share most candidates
+    with others and so lie amid the near copies. That joins a group of n near copies at the cost of n
+    comparisons, not n * n / 2. Where a group still falls into parts, all its members outside the largest
+    part are compared with all others, by samples in blocks and, where those agree, by text. So every
+    pair of candidates that isn't joined by others is compared, whatever the size of its group.
     """
-    rounds = Rounds(scratch, "groups")
-    state, pivots = rounds.keep(grouped), PIVOTS
-    while True:
-        sized = state.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
-        members = scratch.keep(state.join(sized, "grp"), "members")
-        if members.isEmpty():
-            return
-        rank = F.row_number().over(W.partitionBy("grp").orderBy("member"))
-        heads = members.select("grp", F.col("member").alias("a"), rank.alias("rank")).where(F.col("rank") <= pivots)
-        heads = scratch.keep(heads.select("grp", "a"), "heads")
-        met = members.select("grp", F.col("member").alias("b")).join(heads, "grp").where("a < b")
-        likely = scratch.keep(agreeing(met.select("a", "b").distinct(), linker.signed, LIKELY), "likely")
-        if not likely.isEmpty():
-            linker.link_across(linker.link(likely))
-        large = linker.component(members.where(F.col("n") > pivots).select("grp", "member"), "member", "part")
-        settled = linker.component(heads, "a", "part").select("grp", "part").distinct()
-        state = rounds.keep(large.join(settled, ["grp", "part"], "left_anti").select("grp", "member"))
-        pivots *= 4
+    sized = grouped.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
+    members = scratch.keep(grouped.join(sized, "grp"), "members")
+    if members.isEmpty():
+        return
+    rows = members.select(F.col("member").alias("row")).distinct()
+    fine = scratch.keep(fine_samples(linker.texts_of(rows), linker.weights), "fine")
+    central = members.groupBy("member").agg(F.sum("n").alias("met"))
+    rank = F.row_number().over(W.partitionBy("grp").orderBy(F.desc("met"), "member"))
+    heads = members.join(central, "member").select("grp", "member", "met", rank.alias("rank"))
+    heads = heads.where(F.col("rank") <= PIVOTS).select("grp", F.col("member").alias("head"))
+    pairs = members.select("grp", "member").join(heads, "grp").where("head <> member")
+    pairs = pairs.select(F.least("head", "member").alias("a"), F.greatest("head", "member").alias("b")).distinct()
+    linker.link(scratch.keep(agreeing(pairs, fine), "likely"))
+    large = members.where(F.col("n") > PIVOTS + 1).select("grp", "member")
+    placed = scratch.keep(linker.component(large, "member", "part"), "placed")
+    linker.link(scratch.keep(agreeing_across(placed, fine), "across"))
 
 
 def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
@@ -304,7 +346,7 @@ def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
     distinct = scratch.keep(distinct, "distinct")
     bands = [F.xxhash64(F.lit(i), F.slice("samples", 1 + i * SAMPLES, SAMPLES)) for i in range(BANDS)]
     grouped = distinct.select(F.explode(F.array(*bands)).alias("grp"), F.col("row").alias("member"))
-    linker = Linker(stored, row, text, distinct, weights, threshold, scratch)
+    linker = Linker(stored, row, text, weights, threshold, scratch)
     link_groups(grouped, linker, scratch)
     found = copies.withColumnRenamed("first", "node")
     return linker.component(found, "node", "class").select("row", "class")
