@@ -31,7 +31,7 @@ SLICE = 1 << 14  # counters in one row of a partial count
 PIVOTS = 4  # members of a candidate group that all others are compared with first
 FINE = 128  # samples by which candidates are told from others before texts are compared
 LIKELY = 86  # of them must agree; at a similarity of 0.8 fewer do with a chance of 0.05 %
-BLOCK = 1024  # members of a group compared with as many others in one task
+BLOCK = 512  # members of a group compared with as many others in one task
 SLACK = 1e-9  # for rounding, on a distance
 BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
@@ -213,11 +213,13 @@ def agreeing(pairs: DataFrame, fine: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", same.alias("agree")).where(F.col("agree") >= LIKELY)
 
 
-def agreeing_across(placed: DataFrame, fine: DataFrame) -> DataFrame:
-    """Likely pairs (a, b, agree) between members of different parts of the same group.
+def links_across(placed: DataFrame, fine: DataFrame, texts: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """Links (a, b) between members of different parts of the same group, enough to join the parts.
 
-    ``placed`` has ``grp``, ``member`` and ``part``. Members outside a group's largest part are compared with all members of the
-    group, in blocks: a task gets at most some BLOCK of either, and gives only the pairs that agree.
+    ``placed`` has ``grp``, ``member`` and ``part``, ``fine`` also the groups of each member. Members outside
+    a group's largest part are compared with all members of the group, in blocks: a task gets some BLOCK of either, and
+    each text once. Pairs that agree in enough samples are compared exactly, those that agree most first, unless
+    links have joined them already. A pair that shares several groups is compared in the first.
     """
     sizes = placed.groupBy("grp", "part").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("grp").agg(
@@ -226,35 +228,61 @@ def agreeing_across(placed: DataFrame, fine: DataFrame) -> DataFrame:
     blocks = largest.select(
         "grp", "top", F.ceil(F.col("few") / BLOCK).alias("ys"), F.ceil(F.col("all") / BLOCK).alias("xs")
     )
-    dealt = placed.join(blocks, "grp").join(fine.withColumnRenamed("row", "member"), "member")
-    ys = dealt.where("part <> top").select(
-        "grp", F.lit(True).alias("asks"), "member", "part", "fine", F.pmod(F.xxhash64("member"), "ys").alias("y"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("xs") - 1)).alias("x"),
+    split = placed.join(blocks, "grp")
+    rows = split.select(F.col("member").alias("row")).distinct()
+    known = fine.join(texts.join(broadcast_if(rows, BROADCAST_ROWS), "row", "left_semi"), "row")
+    first = F.lit(0).cast("bigint")
+    ys = split.where("part <> top").select(
+        "grp", F.lit(True).alias("asks"), "member", "part", F.pmod(F.xxhash64("member"), "ys").alias("y"),
+        F.explode(F.sequence(first, F.col("xs") - 1)).alias("x"),
     )
-    xs = dealt.select(
-        "grp", F.lit(False).alias("asks"), "member", "part", "fine",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ys") - 1)).alias("y"),
-        F.pmod(F.xxhash64("member"), "xs").alias("x"),
+    xs = split.select(
+        "grp", F.lit(False).alias("asks"), "member", "part",
+        F.explode(F.sequence(first, F.col("ys") - 1)).alias("y"), F.pmod(F.xxhash64("member"), "xs").alias("x"),
     )
+    sent = texts.sparkSession.sparkContext.broadcast(weights)
 
     def compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
         asks = pdf["asks"].to_numpy()
-        found = [pd.DataFrame({"a": [], "b": [], "agree": []}, dtype=np.int64)]
-        if asks.any() and not asks.all():
-            y, x = pdf[asks], pdf[~asks]
-            one, two = np.stack(y["fine"].to_list()), np.stack(x["fine"].to_list())
-            agree = np.zeros((len(y), len(x)), dtype=np.uint8)
-            for i in range(one.shape[1]):
-                agree += one[:, i, None] == two[None, :, i]
-            apart = y["part"].to_numpy()[:, None] != x["part"].to_numpy()[None, :]
-            i, j = np.nonzero((agree >= LIKELY) & apart)
-            p, q = y["member"].to_numpy()[i], x["member"].to_numpy()[j]
-            found.append(pd.DataFrame({"a": np.minimum(p, q), "b": np.maximum(p, q), "agree": agree[i, j].astype(np.int64)}))
-        return pd.concat(found)
-
-    return ys.unionAll(xs).groupBy("grp", "y", "x").applyInPandas(
-        compare_blocks, "a bigint, b bigint, agree bigint"
-    ).distinct()
+        if not asks.any() or asks.all():
+            return none
+        y, x = pdf[asks], pdf[~asks]
+        one, two = np.stack(y["fine"].to_list()), np.stack(x["fine"].to_list())
+        agree = np.zeros((len(y), len(x)), dtype=np.uint8)
+        for i in range(one.shape[1]):
+            agree += one[:, i, None] == two[None, :, i]
+        i, j = np.nonzero((agree >= LIKELY) & (y["part"].to_numpy()[:, None] != x["part"].to_numpy()[None, :]))
+        shared = np.stack(y["groups"].to_list())[i] == np.stack(x["groups"].to_list())[j]
+        here = np.stack(y["groups"].to_list())[i, shared.argmax(axis=1)] == pdf["grp"].iloc[0]
+        i, j = i[here], j[here]
+        order = np.argsort(-agree[i, j].astype(int), kind="stable")
+        parent: dict[int, int] = {}
+
+        def root(n: int) -> int:
+            while parent.get(n, n) != n:
+                n = parent[n]
+            return n
+
+        sets: dict[int, tuple] = {}
+
+        def weighted(n: int, text: str) -> tuple:
+            if n not in sets:
+                sets[n] = sent.value.of(next(hash_words([text])))
+            return sets[n]
+
+        y_at, x_at = [list(zip(f["member"].tolist(), f["part"].tolist(), f["text"])) for f in (y, x)]
+        found = []
+        for p, q in zip(i[order].tolist(), j[order].tolist()):
+            (a, part_a, text_a), (b, part_b, text_b) = y_at[p], x_at[q]
+            u, v = root(part_a), root(part_b)
+            if u != v and similarity(weighted(a, text_a), weighted(b, text_b)) >= threshold:
+                parent[max(u, v)] = min(u, v)
+                found.append((min(a, b), max(a, b)))
+        return pd.DataFrame(found, columns=["a", "b"]) if found else none
+
+    dealt = ys.unionAll(xs).join(known.withColumnRenamed("row", "member"), "member")
+    return dealt.groupBy("grp", "y", "x").applyInPandas(compare_blocks, "a bigint, b bigint").distinct()
 
 
 class Linker:
@@ -288,11 +316,13 @@ class Linker:
             return pairs
         texts = self.texts_of(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
         measured = self.scratch.keep(compare(pairs, texts, self.weights), "measured")
-        links = measured.where(F.col("sim") >= self.threshold).select("a", "b")
+        self.add(measured.where(F.col("sim") >= self.threshold).select("a", "b"))
+        return pairs
+
+    def add(self, links: DataFrame) -> None:
         if not links.isEmpty():
             self.links = links if self.links is None else self.links.unionAll(links)
             self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
-        return pairs
 
     def link(self, likely: DataFrame) -> None:
         """Compare likely pairs (a, b, agree), unless their ends are joined already.
@@ -305,21 +335,23 @@ class Linker:
         self.verify(self.apart(likely).join(tried, ["a", "b"], "left_anti"))
 
 
-def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
-    """Link the members of candidate groups (grp, member) so that no class is split.
+def link_groups(all_groups: DataFrame, linker: Linker, scratch: Scratch) -> None:
+    """Link the members of candidate groups so that no class is split; each ``row`` has its ``groups``.
 
     Every member of a group is first compared with the group's pivots, members that share most candidates
     with others and so lie amid the near copies. That joins a group of n near copies at the cost of n
     comparisons, not n * n / 2. Where a group still falls into parts, all its members outside the largest
-    part are compared with all others, by samples in blocks and, where those agree, by text. So every
+    part are compared with all others in blocks, by samples and, where those agree, by text. So every
     pair of candidates that isn't joined by others is compared, whatever the size of its group.
     """
+    grouped = all_groups.select(F.explode("groups").alias("grp"), F.col("row").alias("member"))
     sized = grouped.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1")
     members = scratch.keep(grouped.join(sized, "grp"), "members")
     if members.isEmpty():
         return
     rows = members.select(F.col("member").alias("row")).distinct()
-    fine = scratch.keep(fine_samples(linker.texts_of(rows), linker.weights), "fine")
+    fine = fine_samples(linker.texts_of(rows), linker.weights).join(all_groups, "row")
+    fine = scratch.keep(fine, "fine")
     central = members.groupBy("member").agg(F.sum("n").alias("met"))
     rank = F.row_number().over(W.partitionBy("grp").orderBy(F.desc("met"), "member"))
     heads = members.join(central, "member").select("grp", "member", "met", rank.alias("rank"))
@@ -329,7 +361,8 @@ def link_groups(grouped: DataFrame, linker: Linker, scratch: Scratch) -> None:
     linker.link(scratch.keep(agreeing(pairs, fine), "likely"))
     large = members.where(F.col("n") > PIVOTS + 1).select("grp", "member")
     placed = scratch.keep(linker.component(large, "member", "part"), "placed")
-    linker.link(scratch.keep(agreeing_across(placed, fine), "across"))
+    across = links_across(placed, fine, linker.texts, linker.weights, linker.threshold)
+    linker.add(scratch.keep(across, "across"))
 
 
 def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
@@ -345,9 +378,8 @@ def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
     distinct = signed.join(copies.where("row = first").select("row"), "row", "left_semi").select("row", "samples")
     distinct = scratch.keep(distinct, "distinct")
     bands = [F.xxhash64(F.lit(i), F.slice("samples", 1 + i * SAMPLES, SAMPLES)) for i in range(BANDS)]
-    grouped = distinct.select(F.explode(F.array(*bands)).alias("grp"), F.col("row").alias("member"))
     linker = Linker(stored, row, text, weights, threshold, scratch)
-    link_groups(grouped, linker, scratch)
+    link_groups(distinct.select("row", F.array(*bands).alias("groups")), linker, scratch)
     found = copies.withColumnRenamed("first", "node")
     return linker.component(found, "node", "class").select("row", "class")
 
