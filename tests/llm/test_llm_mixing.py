@@ -45,7 +45,7 @@ def test_query_meets_targets(spark):
     sizes, taken, target = by_source(rows)
     for source, wanted in expected_targets(sizes).items():
         assert target[source] == pytest.approx(wanted, rel=1e-9, abs=1e-6)
-        assert abs(taken[source] - wanted) <= 0.03 * wanted + 20
+        assert abs(taken[source] - wanted) <= 0.05 * wanted + 20  # ten documents a source
     again = QUERIES["op2_entropy_mixing"](spark, folder).collect()
     assert sorted(map(str, again)) == sorted(map(str, rows))
 
