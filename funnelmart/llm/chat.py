@@ -101,8 +101,8 @@ def conversations(messages: DataFrame, scratch: Scratch, keep: int = 1, node: st
     head = F.concat(F.lit(OPEN), escape(F.col("role"), ROLE_ESCAPES), F.lit(CLOSE))
     body = escape(F.col("text"))
     turns = scratch.keep(
-        rows.withColumn("head", head).withColumn("body", body)
-        .withColumn("chars", F.length("head") + F.length("body") + F.lit(len(END))), "turns",
+        rows.withColumn("head", head).withColumn("body", body).withColumn("learned", F.col("role") == LEARNED)
+        .withColumn("chars", F.length("head") + F.length("body") + F.lit(len(END))).drop("role", "text"), "turns",
     )
     known = turns.select(F.col("node").alias("known"))
     wanted = F.when(F.col("parent") != F.col("node"), F.col("parent"))
@@ -128,13 +128,13 @@ def conversations(messages: DataFrame, scratch: Scratch, keep: int = 1, node: st
         on_path = scratch.keep(on_path.unionAll(up), "on_path")
 
     chunk = F.struct(
-        "depth", F.concat("head", "body", F.lit(END)).alias("chunk"), (F.col("role") == LEARNED).alias("learned"),
+        "depth", F.concat("head", "body", F.lit(END)).alias("chunk"), "learned",
         (F.col("before") + F.length("head")).alias("start"),
         (F.col("before") + F.length("head") + F.length("body")).alias("end"),
     )
     parts = (
         on_path.join(placed.select("node", "depth", F.col("chars").alias("before")), "node")
-        .join(turns.select("node", "role", "head", "body"), "node")
+        .join(turns.select("node", "learned", "head", "body"), "node")
         .groupBy("leaf").agg(F.sort_array(F.collect_list(chunk)).alias("turns"))
     )
     learned = F.filter("turns", lambda t: t["learned"])
@@ -174,9 +174,7 @@ def as_replies(turns: DataFrame, scratch: Scratch, key: str = "conv_id") -> Data
     nobody's single task. Equal turns are ordered by role and text, nulls first.
     """
     ordered = turns.select(col(key).alias("conv_id"), "turn", "role", "text")
-    numbered = scratch.keep(
-        with_dense_key(ordered, "node", ["conv_id", "turn", "role", "text"], scratch.path("ordered")), "numbered"
-    )
+    numbered = with_dense_key(ordered, "node", ["conv_id", "turn", "role", "text"], scratch.path("ordered"))
     before = numbered.select((F.col("node") + 1).alias("next"), F.col("conv_id").alias("of"), F.col("node").alias("above"))
     return numbered.join(before, F.col("node") == F.col("next"), "left").select(
         "conv_id", "node", F.when(F.col("conv_id").eqNullSafe(F.col("of")), F.col("above")).alias("parent"),
@@ -190,7 +188,7 @@ def op1_reply_tree_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
     tricky = "\\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
-    messages = scratch.keep(as_replies(rows.unionAll(own), scratch), "messages")
+    messages = as_replies(rows.unionAll(own), scratch)
     formatted = conversations(messages, scratch)
     told = formatted.select(
         "root", "formatted", read_back(F.col("formatted")).alias("turns"),
