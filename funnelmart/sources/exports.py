@@ -29,7 +29,10 @@ def read_export(spark: SparkSession, path: str, table: Table, format: str = "par
     a record is broken into pieces, which ``_malformed`` marks.
     """
     if format == "csv":
-        options = {"header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False}
+        # without column pruning, which would let records of a wrong length pass
+        options = {
+            "header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False, "columnPruning": False,
+        }
         rows = spark.read.schema(as_text(header(spark, path, options))).options(**options)
         rows = rows.option("columnNameOfCorruptRecord", RAW).csv(path)
     elif format == "json":
@@ -55,16 +58,19 @@ def header(spark: SparkSession, path: str, options: dict) -> list[str]:
 
 
 def json_names(spark: SparkSession, path: str) -> list[str]:
-    """Names used by the first records of a JSON export, in place of an inference over all of them."""
-    names: dict[str, None] = {}
+    """Names used by the first records of a JSON export, in place of an inference over all of them.
+
+    Of names that differ only in case the first is taken.
+    """
+    names: dict[str, str] = {}
     for row in spark.read.text(path).limit(JSON_PEEK).collect():
         try:
             record = json.loads(row["value"])
         except ValueError:  # a malformed record, counted later
             continue
-        if isinstance(record, dict):
-            names |= dict.fromkeys(record)
-    return list(names)
+        for name in record if isinstance(record, dict) else ():
+            names.setdefault(name.lower(), name)
+    return list(names.values())
 
 
 def spelled(rows: DataFrame, table: Table) -> dict[str, str]:
