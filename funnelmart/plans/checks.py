@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelmart.schemas import DIMENSIONS, FACTS, STAR
+from funnelmart.schemas import FACTS, STAR
 
 Tables = Callable[[str], DataFrame]
 
