@@ -4,7 +4,13 @@ Vectors of a label are dealt to overlapping cells around centroids. In each cell
 nearest candidates every vector keeps those that no kept one stands in for (robust pruning). The
 adjacency lists that a vector got in its cells are united. A search starts at the medoid of a cell, goes
 greedily toward the query, and once in range expands everything in range. What it finds is verified in
-double precision, and recall is audited against brute force; if it is too low, cells overlap more.
+double precision.
+
+Where vectors lie dense, centroids do too, and a group of near vectors is cut into many cells that a few overlaps
+don't join. Vectors close to their centroid, the core, are therefore kept out of the graph: whatever lies within the
+angle of the threshold plus that of the core from a centroid is compared exactly with the core around it, which
+misses no pair. Recall is audited against brute force; if it is too low, cells overlap more, and if that does not
+help, all vectors of a label are compared.
 """
 
 from __future__ import annotations
@@ -34,6 +40,9 @@ QUERIES = 512  # queries searched at a time
 AUDIT_EVERY = 50  # the audit takes its queries among ids divisible by this
 AUDIT_QUERIES = 256
 LEAST_RECALL = 0.99
+DEMANDED_RECALL = 0.9  # below it there is no answer
+CORE = 0.8  # vectors with this cosine to their centroid are compared exactly
+BLOCK = 4_096  # of the core, and of those it is compared with, in one task
 BROADCAST_ROWS = 200_000
 
 
@@ -213,32 +222,111 @@ def fit_centroids(nodes: DataFrame) -> dict[tuple[str, int], np.ndarray]:
     return out
 
 
-def cells_of(nodes: DataFrame, centroids: dict, overlap: int) -> DataFrame:
-    """``nodes`` with ``cells``, the ``overlap`` nearest cells of each, nearest first."""
-    sent = nodes.sparkSession.sparkContext.broadcast(centroids)
+def regions_of(centroids: dict, threshold: float) -> dict[tuple[str, int], np.ndarray]:
+    """The region of each centroid; centroids in range of one another are in one region."""
+    return {
+        key: local_roots(len(centres), *np.nonzero(centres @ centres.T >= threshold)) for key, centres in centroids.items()
+    }
+
+
+def cells_of(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, everything: bool = False) -> DataFrame:
+    """``nodes`` with ``cells``, ``region`` and ``visits``.
+
+    A vector of the core has no cells but the ``region`` of its nearest centroid; any other has the ``overlap`` nearest
+    cells, nearest first. ``visits`` are the regions whose core may hold vectors in range. ``everything`` makes
+    all vectors of a label and dimension one region.
+    """
+    sent = nodes.sparkSession.sparkContext.broadcast((centroids, regions_of(centroids, threshold)))
+    reach = np.cos(min(np.pi, np.arccos(np.clip(threshold, -1, 1)) + np.arccos(np.clip(CORE, -1, 1)))) - 1e-9
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, known_regions = sent.value
         for pdf in batches:
-            cells = []
-            for label, size, vec in zip(pdf["label"], pdf["size"], pdf["vec"]):
-                centres = sent.value.get((label, size))
-                name = f"{label}/{size}/"
-                if centres is None or len(centres) == 1:
-                    cells.append([name + "0"])
-                else:
-                    order = np.argsort(-(centres @ unit(np.asarray(vec, dtype=np.float64)[None])[0]), kind="stable")
-                    cells.append([name + str(c) for c in order[:overlap]])
-            yield pdf.assign(cells=cells)
+            cells: list[list[str]] = [[] for _ in range(len(pdf))]
+            region: list[str | None] = [None] * len(pdf)
+            visits: list[list[str]] = [[] for _ in range(len(pdf))]
+            for (label, size), rows in pdf.groupby(["label", "size"]).indices.items():
+                name, centres = f"{label}/{size}/", known.get((label, size))
+                for part in (rows[at: at + QUERIES] for at in range(0, len(rows), QUERIES)):
+                    if everything:
+                        for i in part:
+                            region[i], visits[i] = name + "all", [name + "all"]
+                        continue
+                    if centres is None or len(centres) == 1:
+                        for i in part:
+                            cells[i] = [name + "0"]
+                        continue
+                    sims = unit(np.array(pdf["vec"].iloc[part].tolist(), dtype=np.float64)) @ centres.T
+                    order = np.argsort(-sims, axis=1, kind="stable")[:, :overlap]
+                    for i, line, near in zip(part, sims, order):
+                        if line[near[0]] >= CORE:
+                            region[i] = name + str(known_regions[label, size][near[0]])
+                        else:
+                            cells[i] = [name + str(c) for c in near]
+                        if line[near[0]] >= reach:
+                            visits[i] = [name + str(r) for r in np.unique(known_regions[label, size][line >= reach])]
+            yield pdf.assign(cells=cells, region=region, visits=visits)
 
     return nodes.mapInPandas(
-        assign, "node bigint, times bigint, label string, vec array<double>, size int, cells array<string>"
+        assign, "node bigint, times bigint, label string, vec array<double>, size int, cells array<string>, "
+        "region string, visits array<string>"
     )
 
 
-def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+def core_links(placed: DataFrame, threshold: float, scratch: Scratch) -> DataFrame | None:
+    """All links of which one end at least is in a core, as ``node``, ``n`` and ``root``; by blocks of a region."""
+    core = placed.where("region is not null")
+    sizes = scratch.keep(
+        core.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("targets")), "regions"
+    )
+    if sizes.isEmpty():
+        return None
+    visiting = placed.select("node", F.explode("visits").alias("region"))
+    sizes = scratch.keep(sizes.join(
+        visiting.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "region"
+    ), "blocks")
+    sizes = broadcast_if(sizes, BROADCAST_ROWS)
+    own = F.col("region").isNotNull().alias("core")
+    asks = placed.select("node", "times", "vec", own, F.explode("visits").alias("region")).join(sizes, "region").select(
+        "region", F.explode(F.sequence(F.lit(0), F.col("targets") - 1)).alias("target"),
+        F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), F.lit(True).alias("asks"), "node", "times", "vec", "core",
+    )
+    asked = core.select("region", "node", "times", "vec", own).join(sizes, "region").select(
+        "region", F.pmod(F.xxhash64("node"), "targets").cast("int").alias("target"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(False).alias("asks"), "node", "times", "vec", "core",
+    )
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, t = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        ids = np.concatenate([q["node"].to_numpy(), t["node"].to_numpy()]).astype(np.int64)
+        total, roots = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        if len(q) and len(t):
+            ones, others = (unit(np.array(f["vec"].tolist(), dtype=np.float64)) for f in (q, t))
+            outside = ~q["core"].to_numpy(dtype=bool)  # is no target anywhere, so its links count for both ends
+            q_times, t_times = q["times"].to_numpy(), t["times"].to_numpy()
+            for at in range(0, len(q), QUERIES):
+                block = slice(at, at + QUERIES)
+                hits = ones[block] @ others.T >= threshold
+                hits &= ids[: len(q)][block][:, None] != ids[len(q):][None, :]
+                total[: len(q)][block] += hits @ t_times
+                total[len(q):] += (q_times[block] * outside[block]) @ hits
+                a, b = np.nonzero(hits)
+                every = np.arange(len(ids))
+                roots = local_roots(len(ids), np.concatenate([every, a + at]), np.concatenate([roots, b + len(q)]))
+        return pd.DataFrame({"node": ids, "n": total, "root": ids[roots]})
+
+    return scratch.keep(
+        asks.unionAll(asked).groupBy("region", "target", "block").applyInPandas(compare, "node bigint, n bigint, root bigint"),
+        "core",
+    )
+
+
+def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scratch: Scratch,
+          everything: bool = False) -> tuple[DataFrame, DataFrame]:
     """Links per node (``node``, ``n``) counted with copies, and edges (a, b) that join what is linked."""
-    placed = scratch.keep(cells_of(nodes, centroids, overlap), "cells")
-    member = placed.withColumn("cell", F.explode("cells"))
+    placed = scratch.keep(cells_of(nodes, centroids, overlap, threshold, everything), "cells")
+    exact = core_links(placed, threshold, scratch)
+    member = placed.drop("region", "visits").withColumn("cell", F.explode("cells"))
     sizes = scratch.keep(
         member.groupBy("cell").agg(F.count("*").alias("n"))
         .select("cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "sizes",
@@ -296,6 +384,8 @@ def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scr
     found = scratch.keep(
         ready.groupBy("cell", "target").applyInPandas(find, "node bigint, n bigint, root bigint"), "found"
     )
+    if exact is not None:
+        found = found.unionAll(exact)
     return (
         found.groupBy("node").agg(F.sum("n").alias("n")),
         found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")),
@@ -303,7 +393,11 @@ def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scr
 
 
 def audit(nodes: DataFrame, counted: DataFrame, queries: DataFrame, threshold: float) -> float:
-    """Share of the true links of ``queries`` (node) that were found, by brute force against all nodes."""
+    """Share of the true links of ``queries`` (node) that were found, by brute force against all nodes.
+
+    The lower of the share of all their links and of the mean share of a query, so that neither many links of a few
+    queries nor many queries of few links hide what others lack.
+    """
     asked = queries.join(nodes, "node").join(counted, "node").select("node", "label", "size", "vec", "n").collect()
     if not asked:
         return 1.0
@@ -329,7 +423,10 @@ def audit(nodes: DataFrame, counted: DataFrame, queries: DataFrame, threshold: f
         .groupBy("node").agg(F.sum("n").alias("n")).collect()
     }
     total = sum(truth.values())
-    return sum(min(r["n"], truth.get(r["node"], 0)) for r in asked) / total if total else 1.0
+    shares = [min(r["n"], truth[r["node"]]) / truth[r["node"]] for r in asked if truth.get(r["node"])]
+    if not total:
+        return 1.0
+    return min(sum(min(r["n"], truth.get(r["node"], 0)) for r in asked) / total, sum(shares) / len(shares))
 
 
 def linked_vectors(vectors: DataFrame, scratch: Scratch, identity: str = "vec_id", vector: str = "embedding",
@@ -339,7 +436,8 @@ def linked_vectors(vectors: DataFrame, scratch: Scratch, identity: str = "vec_id
     Rows link when labels are equal and not null and the cosine reaches ``threshold``. Vectors that are null, empty or
     zero, or hold null, NaN or infinite components, link with nothing, as do those of different dimensions.
     Repeated rows are vectors of their own that link with each other. ``component_id`` is the smallest id
-    reachable, null ids last. Empty input gives no rows; other columns are ignored.
+    reachable, null ids last. Empty input gives no rows; other columns are ignored. A recall below LEAST_RECALL
+    has cells overlap more and in the end all vectors of a label compared; one below DEMANDED_RECALL is an error.
     """
     rows = scratch.keep(
         vectors.select(
@@ -353,13 +451,16 @@ def linked_vectors(vectors: DataFrame, scratch: Scratch, identity: str = "vec_id
     of_rows = scratch.keep(of_rows, "of_rows")
     asked = rows.where(F.col("vec_id") % AUDIT_EVERY == 0).join(of_rows, "row").select("node").distinct()
     asked = asked.orderBy(F.xxhash64("node"), "node").limit(AUDIT_QUERIES)
-    overlap, recall, known = OVERLAP, 0.0, -1.0
+    overlap, known, everything = OVERLAP, -1.0, False
     while True:
-        counted, edges = links(nodes, centroids, overlap, threshold, scratch)
+        counted, edges = links(nodes, centroids, overlap, threshold, scratch, everything)
         recall = audit(nodes, counted, asked, threshold)
-        if recall >= LEAST_RECALL or overlap >= 4 * OVERLAP or recall <= known:
+        if recall >= LEAST_RECALL or everything:
             break
+        everything = overlap >= 4 * OVERLAP or recall <= known
         known, overlap = recall, 2 * overlap
+    if recall < DEMANDED_RECALL:
+        raise RuntimeError(f"only {recall:.3f} of the audited links were found")
 
     reached = components(edges, scratch)
     per_node = counted.join(reached, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))

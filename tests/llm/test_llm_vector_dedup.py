@@ -99,3 +99,29 @@ def test_search_from_medoids_alone_finds_what_is_in_range():
     got = vd.search(x, np.full(len(x), -1), x, vd.build_graph(x), vd.COSINE)
     assert not (got & ~truth).any()
     assert (got & truth).sum() >= 0.95 * truth.sum()
+
+
+def dense(n=400, dims=64, seed=5):
+    """One group of near vectors, all of one label, all pairs of them in range or nearly so."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=dims)
+    return [(i, (centre + 0.22 * rng.normal(size=dims)).astype(np.float32).tolist(), 1) for i in range(n)]
+
+
+def test_a_dense_group_cut_into_many_cells_is_whole(spark, scratch, monkeypatch):
+    monkeypatch.setattr(vd, "CELL", 10)
+    monkeypatch.setattr(vd, "BLOCK", 100)
+    rows = dense() + [(1000 + i, vec, label) for i, vec, label in table(6, 80, 64)]
+    found = run(spark, scratch, rows).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
+
+
+def test_a_low_recall_ends_in_comparing_all(spark, scratch, monkeypatch):
+    monkeypatch.setattr(vd, "CELL", 10)
+    monkeypatch.setattr(vd, "CORE", 1.1)
+    rows = dense(200)
+    # without a core, and too few overlaps to join the cells
+    monkeypatch.setattr(vd, "OVERLAP", 1)
+    found = run(spark, scratch, rows).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
+    assert {r["recall"] for r in found} == {1.0}
