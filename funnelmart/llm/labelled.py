@@ -27,20 +27,25 @@ def training_rows(labels: DataFrame, label: str, usable: Column, identity: str =
     return known.orderBy(F.xxhash64("id"), "id").limit(most)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> np.ndarray:
-    """Weights of a logistic regression by damped Newton steps; ``x`` has its own column of ones if wanted."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 60,
+             weight: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic regression by damped Newton steps; ``x`` has its own column of ones if wanted.
+
+    A row counts as often as its ``weight`` says, which may be a fraction.
+    """
     w = np.zeros(x.shape[1])
     if not len(x):
         return w
+    share = np.full(len(x), 1 / len(x)) if weight is None else weight / weight.sum()
 
     def loss(v):
         z = x @ v
-        return np.logaddexp(0, z).mean() - (y * z).mean() + ridge * v @ v / 2
+        return share @ (np.logaddexp(0, z) - y * z) + ridge * v @ v / 2
 
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) / len(x) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(x) + ridge * np.eye(len(w))
+        slope = x.T @ (share * (p - y)) + ridge * w
+        curve = (x * (share * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):

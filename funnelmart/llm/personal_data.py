@@ -164,18 +164,11 @@ def accepted(patterns: list[tuple[str, str, int]]) -> list[tuple[str, str]]:
     # each pattern counts once as personal and once as not, weighted by its probability
     both = np.concatenate([x, x])
     truth = np.concatenate([np.ones(len(x)), np.zeros(len(x))])
-    share = np.concatenate([belief * n, (1 - belief) * n]) / n.sum()
-    w = weighted_logistic(both, truth, share)
+    w = logistic(both, truth, ridge=1 / n.sum(), weight=np.concatenate([belief * n, (1 - belief) * n]))
     p = 1 / (1 + np.exp(-x @ w))
     return [(kind, votes) for (kind, votes, _), v in zip(patterns, p) if v >= ACCEPT]
 
 
-def weighted_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic regression with weighted rows: rows scaled to counts out of 10,000."""
-    times = np.maximum(np.round(weight * 10_000), 0).astype(int)
-    return logistic(np.repeat(x, times, axis=0), np.repeat(y, times))
-
-
 def spans_column(text: Column) -> Column:
     """Base spans and candidates of a text, in one pass; each with the votes on it."""
 

@@ -75,3 +75,11 @@ def test_odd_rows(odd, documents, scratch):
     assert not by_id[1] and not by_id[2] and len(by_id[21]) == 20_000
     assert [(s["kind"], s["start"], s["end"]) for s in by_id[20] if s["kind"] in pd.BASE] == naive(TEXT)
     assert pd.with_personal_data(docs.where("false"), scratch).count() == 0
+
+
+def test_rare_patterns_count_however_large_the_corpus():
+    few = [("phone", "++0+00", 900), ("number", "0+0+00", 800), ("number", "0-00--", 900), ("number", "0-0000", 700)]
+    patterns = [("email", "+++000", 50_000_000), *few]
+    belief = pd.reliabilities(patterns)
+    assert min(belief) < 0.1 and max(belief) > 0.9
+    assert pd.accepted(patterns) == [(kind, votes) for (kind, votes, _), p in zip(patterns, belief) if p >= pd.ACCEPT]
