@@ -10,7 +10,8 @@ classifier of spans, which decides which candidates are added.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right, insort
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,16 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 SPELLED = re.compile(r"[A-Za-z0-9._-]{2,} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,}", re.I)
 NUMBER = re.compile(r"(?<![\w.+-])[0-9(][0-9 ().-]{5,24}[0-9](?![\w-])")
-NAME = re.compile(r"\b[A-Z][a-z]+ [A-Z][a-z]+\b")
+
+
+def characters(holds: Callable[[str], bool]) -> str:
+    """The characters of the basic plane for which this holds, as the inside of a character class."""
+    found = [c for c in map(chr, range(0xD800)) if c.isalpha() and holds(c)]
+    return "".join(map(re.escape, found))
+
+
+# every pair of capitalised words, also where pairs overlap
+NAME = re.compile(r"(?<!\w)(?=([{0}][{1}]+ [{0}][{1}]+)(?!\w))".format(characters(str.isupper), characters(str.islower)))
 DIGIT = re.compile(r"[0-9]")
 
 # Word lists: fixed values.
@@ -84,25 +94,45 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Further spans, apart from the base spans and from one another; the earlier kind goes first."""
+    """Further spans, apart from the base spans; they may overlap one another."""
     found = []
     low = text.lower()
     if "at" in low and "dot" in low:
         found += [("spelled_email", *m.span()) for m in SPELLED.finditer(text)]
     if DIGIT.search(text):
         found += [("number", *m.span()) for m in NUMBER.finditer(text)]
-    found += [
-        ("name", *m.span()) for m in NAME.finditer(text) if m.group().split()[0].lower() in FIRST_NAMES
-    ]
-    taken = sorted((s, e) for _, s, e in base)
+    found += [("name", *m.span(1)) for m in NAME.finditer(text)]
+    starts, ends = [], []  # of the stretches that base spans cover
+    for start, end in sorted((s, e) for _, s, e in base):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
     out = []
     for kind, start, end in found:
-        if all(e <= start or s >= end for s, e in taken):
-            taken.append((start, end))
+        at = bisect_right(starts, end - 1)
+        if not at or ends[at - 1] <= start:
             out.append((kind, start, end))
     return out
 
 
+def apart(spans: list[tuple[float, int, int, int]]) -> list[int]:
+    """Places in ``spans`` (probability, rank of kind, start, end) of those kept, so that none overlap.
+
+    The more probable span goes first, then the earlier kind, then the one that starts first.
+    """
+    taken: list[tuple[int, int]] = []
+    out = []
+    for i in sorted(range(len(spans)), key=lambda i: (-spans[i][0], *spans[i][1:])):
+        start, end = spans[i][2:]
+        at = bisect_right(taken, (start, end))
+        if (not at or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= end):
+            insort(taken, (start, end))
+            out.append(i)
+    return sorted(out)
+
+
 def votes(text: str, kind: str, start: int, end: int) -> str:
     """One vote per labeler on a span: yes, no or abstain."""
     span = text[start:end]
@@ -149,24 +179,42 @@ def reliabilities(patterns: list[tuple[str, str, int]]) -> np.ndarray:
     return belief
 
 
+def beliefs(patterns: list[tuple[str, str, int]]) -> np.ndarray:
+    """Reliabilities of names and of all other kinds apart.
+
+    Names are proposed so widely that most spans of a corpus are names and nearly all of those are not personal. Estimated
+    together, "is a name" and "is not personal" would come out as the same thing.
+    """
+    out = np.zeros(len(patterns))
+    for names in (True, False):
+        places = [i for i, (kind, *_) in enumerate(patterns) if (kind == "name") == names]
+        if places:
+            out[places] = reliabilities([patterns[i] for i in places])
+    return out
+
+
 def describe(kind: str, pattern: str) -> list[float]:
     """Features of a span for the classifier: its kind and every vote."""
     return [1.0, *[float(kind == k) for k in KINDS], *[float(v == s) for v in pattern for s in (YES, NO)]]
 
 
 def accepted(patterns: list[tuple[str, str, int]]) -> list[tuple[str, str]]:
-    """The (kind, votes) that the classifier trained on the estimated probabilities takes as personal."""
+    """The (kind, votes) that the classifier takes as personal."""
+    return [(kind, votes) for (kind, votes, _), p in zip(patterns, probabilities(patterns)) if p >= ACCEPT]
+
+
+def probabilities(patterns: list[tuple[str, str, int]]) -> list[float]:
+    """Of each (kind, votes, count), by the classifier trained on the estimated probabilities."""
     if not patterns:
         return []
-    belief = reliabilities(patterns)
+    belief = beliefs(patterns)
     x = np.array([describe(kind, votes) for kind, votes, _ in patterns])
     n = np.array([n for *_, n in patterns], dtype=float)
     # each pattern counts once as personal and once as not, weighted by its probability
     both = np.concatenate([x, x])
     truth = np.concatenate([np.ones(len(x)), np.zeros(len(x))])
     w = logistic(both, truth, ridge=1 / n.sum(), weight=np.concatenate([belief * n, (1 - belief) * n]))
-    p = 1 / (1 + np.exp(-x @ w))
-    return [(kind, votes) for (kind, votes, _), v in zip(patterns, p) if v >= ACCEPT]
+    return (1 / (1 + np.exp(-x @ w))).tolist()
 
 
 def spans_column(text: Column) -> Column:
@@ -185,11 +233,29 @@ def spans_column(text: Column) -> Column:
     return find(text)
 
 
+def apart_column(spans: Column, chances: dict[str, float]) -> Column:
+    """``spans`` (all accepted) without those that overlap a better one; ``chances`` by kind and votes."""
+
+    @F.pandas_udf(f"array<{SPAN}>")
+    def resolve(rows: pd.Series) -> pd.Series:
+        out = []
+        for found in rows:
+            found = [s if isinstance(s, dict) else s.asDict() for s in found]
+            kept = apart([
+                (chances[f"{s['kind']} {s['pattern']}"], KINDS.index(s["kind"]), s["start"], s["end"]) for s in found
+            ])
+            out.append([found[i] for i in kept])
+        return pd.Series(out, dtype=object)
+
+    return resolve(spans)
+
+
 def with_personal_data(documents: DataFrame, scratch: Scratch, text: str = "text", name: str = "spans",
                        columns: list[str] | None = None) -> DataFrame:
     """``documents`` (or these ``columns`` of it) with ``name``: the personal spans of each, by start and kind.
 
-    A span is (start, rank of its kind, end, kind); places are code points, the end exclusive. Base spans are all there; added spans overlap no base span.
+    A span is (start, rank of its kind, end, kind); places are code points, the end exclusive. Base spans are all there; added spans
+    overlap no base span and, the likelier going first, not one another.
     Null and empty texts have none; repeated rows have the same. The votes of all spans in all documents
     are counted by pattern, of which there are at most 7 kinds times 3 to the power of the labelers. A
     column of ``documents`` with that name is replaced; empty input gives no rows.
@@ -200,10 +266,14 @@ def with_personal_data(documents: DataFrame, scratch: Scratch, text: str = "text
     found = scratch.keep(documents.select(*map(col, kept), spans_column(text_of(text)).alias(own)), "spans")
     counted = found.select(F.explode(own).alias("s")).groupBy("s.kind", "s.pattern").agg(F.count("*").alias("n"))
     rows = sorted((r["kind"], r["pattern"], r["n"]) for r in counted.collect())
+    chances = {f"{kind} {pattern}": p for (kind, pattern, _), p in zip(rows, probabilities(rows))}
     good = [f"{kind} {pattern}" for kind, pattern in accepted(rows) if kind in ADDED]
-    takes = F.array(*map(F.lit, good)) if good else F.array().cast("array<string>")
     place = F.array(*map(F.lit, KINDS))
-    chosen = F.filter(own, lambda s: s["kind"].isin(*BASE) | F.array_contains(takes, F.concat_ws(" ", s["kind"], s["pattern"])))
+    chosen = F.filter(own, lambda s: s["kind"].isin(*BASE))
+    if good:
+        takes = F.array(*map(F.lit, good))
+        added = F.filter(own, lambda s: F.array_contains(takes, F.concat_ws(" ", s["kind"], s["pattern"])))
+        chosen = F.concat(chosen, apart_column(added, chances))
     ordered = F.array_sort(F.transform(chosen, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(place, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")
     )))

@@ -77,9 +77,40 @@ def test_odd_rows(odd, documents, scratch):
     assert pd.with_personal_data(docs.where("false"), scratch).count() == 0
 
 
+def test_every_capitalised_pair_is_a_candidate():
+    for text, names in (
+        ("see Mr John Smith there", {"Mr John", "John Smith"}), ("Contact John Smith", {"Contact John", "John Smith"}),
+        ("bei Élodie Müßig.", {"Élodie Müßig"}), ("Wanda Kowalska, SMITH Jones, a1John Smith", {"Wanda Kowalska"}),
+    ):
+        found = pd.candidates(text, [])
+        assert {k for k, *_ in found} == {"name"} and {text[s:e] for _, s, e in found} == names
+    text = "Mr John Smith"
+    assert pd.votes(text, "name", 3, 13)[2:4] == "++" and pd.votes(text, "name", 0, 7)[2] == "-"
+
+
+def test_accepted_names_do_not_overlap(documents, scratch):
+    rows = [(i, f"call Mr John Smith Road or Mail Maria Gomez; fine words {i}", "s") for i in range(20)]
+    rows += [(100 + i, f"Green Field and Blue Water were Quite Nice in {i}", "s") for i in range(60)]
+    rows += [(200 + i, f"write to a{i}@b.com or phone +1 (988) 555-2485", "s") for i in range(20)]
+    for r in pd.with_personal_data(documents(rows), scratch).collect():
+        names = [r["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "name"]
+        assert names == (["John Smith", "Maria Gomez"] if r["doc_id"] < 100 else [])
+
+
+def test_overlaps_are_left_to_the_likelier_span():
+    assert pd.apart([(0.6, 6, 0, 7), (0.9, 6, 3, 13), (0.6, 6, 8, 20), (0.7, 6, 20, 30)]) == [1, 3]
+    assert pd.apart([(0.5, 6, 0, 7), (0.5, 4, 3, 13), (0.6, 5, 13, 14)]) == [1, 2]
+
+
 def test_rare_patterns_count_however_large_the_corpus():
     few = [("phone", "++0+00", 900), ("number", "0+0+00", 800), ("number", "0-00--", 900), ("number", "0-0000", 700)]
     patterns = [("email", "+++000", 50_000_000), *few]
     belief = pd.reliabilities(patterns)
     assert min(belief) < 0.1 and max(belief) > 0.9
     assert pd.accepted(patterns) == [(kind, votes) for (kind, votes, _), p in zip(patterns, belief) if p >= pd.ACCEPT]
+
+
+def test_many_names_do_not_decide_about_numbers():
+    patterns = [("phone", "++0+00", 300), ("number", "0+0+00", 80), ("number", "0-00--", 200), ("number", "0-0000", 150)]
+    names = [("name", "00-000", 30_000), ("name", "00++00", 100)]
+    assert pd.accepted(patterns + names) == [*pd.accepted(patterns), ("name", "00++00")]
