@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +12,6 @@ from funnelmart.schemas import Table
 
 MALFORMED = "_malformed"  # 1 for a record that does not have the shape of its file
 RAW = "_raw_record"
-JSON_PEEK = 100  # records whose names tell how a JSON export spells its columns
 
 
 def read_export(spark: SparkSession, path: str, table: Table, format: str = "parquet",
@@ -23,8 +20,8 @@ def read_export(spark: SparkSession, path: str, table: Table, format: str = "par
 
     Columns are found by name, whatever their case, so their order and extra columns do not matter. A
     declared column that the export lacks is an error, unless ``fill_missing`` asks for NULLs. JSON
-    records may leave out empty values, so there a column is lacking only if none of the first JSON_PEEK
-    records names it. Values that do not fit a column's type become NULL. CSV has a header line;
+    records may leave out empty values and spell names each in its own way, so there a column is lacking only if
+    no record of any file names it. Values that do not fit a column's type become NULL. CSV has a header line;
     ``multi_line`` allows line breaks within quotes, and has each file read by one task. Without it such
     a record is broken into pieces, which ``_malformed`` marks.
     """
@@ -36,8 +33,7 @@ def read_export(spark: SparkSession, path: str, table: Table, format: str = "par
         rows = spark.read.schema(as_text(header(spark, path, options))).options(**options)
         rows = rows.option("columnNameOfCorruptRecord", RAW).csv(path)
     elif format == "json":
-        rows = spark.read.schema(as_text(json_names(spark, path)))
-        rows = rows.option("columnNameOfCorruptRecord", RAW).json(path)
+        rows = json_records(spark, path, table)
     else:
         rows = spark.read.format(format).load(path)
     absent = set(table.names) - set(spelled(rows, table))
@@ -57,20 +53,24 @@ def header(spark: SparkSession, path: str, options: dict) -> list[str]:
     return spark.read.options(**options).csv(path).columns
 
 
-def json_names(spark: SparkSession, path: str) -> list[str]:
-    """Names used by the first records of a JSON export, in place of an inference over all of them.
+def json_records(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """The declared columns that any record of a JSON export names, as text, and the malformed records.
 
-    Of names that differ only in case the first is taken.
+    One pass over all records finds how they spell the names. Of several spellings in one record the declared one goes first,
+    if it has a value.
     """
-    names: dict[str, str] = {}
-    for row in spark.read.text(path).limit(JSON_PEEK).collect():
-        try:
-            record = json.loads(row["value"])
-        except ValueError:  # a malformed record, counted later
-            continue
-        for name in record if isinstance(record, dict) else ():
-            names.setdefault(name.lower(), name)
-    return list(names.values())
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    wanted = [name.lower() for name in table.names]
+    found = lines.select(F.explode(F.json_object_keys("value")).alias("name")).where(F.lower("name").isin(wanted))
+    names = sorted(row["name"] for row in found.distinct().collect())
+    record = F.col("record")
+    columns = []
+    for declared in table.names:
+        known = sorted((n for n in names if n.lower() == declared.lower()), key=lambda n: (n != declared, n))
+        if known:
+            columns.append(F.coalesce(*[record.getItem(n) for n in known]).alias(declared))
+    parsed = lines.select("value", F.from_json("value", "map<string,string>").alias("record"))
+    return parsed.select(*columns, F.when(record.isNull(), F.col("value")).alias(RAW))
 
 
 def spelled(rows: DataFrame, table: Table) -> dict[str, str]:

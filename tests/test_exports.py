@@ -64,6 +64,18 @@ def test_json_is_read_by_name_without_inference(spark, tmp_path):
     assert (float(rows[0].unit_value), rows[0].lead_id) == (10.56, 12)
 
 
+def test_json_names_of_late_records_and_other_files_are_found(spark, tmp_path):
+    folder = tmp_path / "sales"
+    folder.mkdir()
+    first = [json.dumps({"id": i, "lead_id": i}) for i in range(300)] + [json.dumps({"Id": 300, "UNIT_VALUE": 5.25, "other": {"id": 1}})]
+    (folder / "a.json").write_text("\n".join(first) + "\n\n")
+    (folder / "b.json").write_text('{"ID": 301, "unit_value": 7.5, "Lead_ID": "9"}\n{"id": 302, "lead_id":\n')
+    rows = {r.id: r for r in read_export(spark, str(folder), RAW_SALES, "json", fill_missing=True).collect()}
+    assert len(rows) == 303 and sum(r[MALFORMED] for r in rows.values()) == 1
+    assert (float(rows[300].unit_value), rows[300].lead_id, rows[299].unit_value) == (5.25, None, None)
+    assert (float(rows[301].unit_value), rows[301].lead_id) == (7.5, 9)
+
+
 @pytest.mark.parametrize("text, whole", [("12.7", 13), ("-12.5", -13), ("12.5", 13), ("12.4", 12), ("12", 12), ("-0.4", 0), ("x", None), ("", None)])
 def test_fractions_round_half_away_from_zero(spark, text, whole):
     for kind, value in ((T.StringType(), f"'{text}'"), (T.DoubleType(), f"try_cast('{text}' as double)")):
