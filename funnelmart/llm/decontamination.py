@@ -5,12 +5,16 @@ A spaced seed is a fixed mask over consecutive words: words under a 1 are hashed
 items and of documents are joined; around each hit the two texts are laid on one another and the
 longest stretch that tolerates substitutions is measured.
 
+Characters of scripts that are written without spaces are words of their own here, and spaces and punctuation of any
+script end a word.
+
 Items are taken in blocks of bounded size. A block's hashes are sent to every task and documents stream
 past them, so documents are never shuffled; more items mean more blocks, not larger ones.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +29,12 @@ from funnelmart.llm.words import U64, combined, hash_words
 MASKS = ("1111011", "110110101", "1010011011", "1100100010111")  # weight 6; no two agree in more than half
 BLOCK_BYTES = 16 << 20  # text of the items sent to the tasks at a time
 FILTER_BITS = 20
+# Thai to Myanmar, Khmer, kana, Han and its extensions
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf" \
+    "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+# spaces and marks beyond Latin-1: general punctuation, CJK, full-width forms
+BREAKS = "\u1680\u2000-\u200a\u2010-\u205f\u3000-\u3004\u3008-\u3020\u30fb\ufe30-\ufe4f\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65"
+SPECIAL = re.compile(f"([{UNSPACED}])|[{BREAKS}]")
 RESULT = "array<struct<item_id: bigint, start: int, words: int, matched: int>>"
 
 
@@ -41,13 +51,18 @@ class Rule:
     shortest: int = 5
 
 
+def words_of(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """The word hashes of each text, with unspaced scripts taken by character."""
+    return hash_words([t if not t or t.isascii() else SPECIAL.sub(lambda m: f" {m[1] or ''} ", t) for t in texts])
+
+
 class Index:
     """Spaced hashes of some benchmark items, ready for lookup."""
 
     def __init__(self, items: list[tuple[int, str]], rule: Rule):
         self.rule = rule
         self.ids = [i for i, _ in items]
-        self.words = list(hash_words([t for _, t in items]))
+        self.words = list(words_of([t for _, t in items]))
         self.seeds: list[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         spans = {tuple(i for i, bit in enumerate(mask) if bit == "1"): None for mask in MASKS}
         short = {len(w) for w in self.words if rule.shortest <= len(w) < max(map(len, MASKS))}
@@ -134,7 +149,7 @@ def overlap_column(spark: SparkSession, items: list[tuple[int, str]], text: Colu
         names = ("item_id", "start", "words", "matched")
         for texts in batches:
             yield pd.Series([
-                [dict(zip(names, x)) for x in index.overlaps(words)] for words in hash_words(texts.tolist())
+                [dict(zip(names, x)) for x in index.overlaps(words)] for words in words_of(texts.tolist())
             ], dtype=object)
 
     return overlaps(text)

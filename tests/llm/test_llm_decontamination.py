@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from funnelmart.llm.decontamination import Index, Rule, with_overlaps, without_overlaps
+from funnelmart.llm.decontamination import Index, Rule, with_overlaps, without_overlaps, words_of
 from funnelmart.llm.words import hash_words
 
 ITEMS = "item_id bigint, text string, overlaps int"
@@ -102,3 +102,16 @@ def test_odd_rows_and_empty_tables(spark, odd):
     assert [r["doc_id"] for r in found if r["overlaps"]] == [None]
     assert all(not r["overlaps"] for r in with_overlaps(odd, benchmark.where("false")).collect())
     assert with_overlaps(odd.where("false"), benchmark).count() == 0
+
+
+def test_items_without_ascii_spaces_are_found():
+    chinese = "".join(chr(0x4E00 + 37 * i) for i in range(40))
+    thai = "".join(chr(0x0E01 + 7 * i % 46) for i in range(30))
+    wide = "\u3000".join(f"mot{i}" for i in range(20))
+    index = Index([(1, chinese), (2, thai), (3, wide)], Rule())
+    changed = chinese[:20] + "\u9fa0" + chinese[21:]
+    for text, item, matched in ((f"前後文字。{chinese}、文字", 1, 40), (f"前{changed}後", 1, 39), (f"x{thai}y", 2, 30),
+                                ("a " + " ".join(f"mot{i}" for i in range(20)), 3, 20)):
+        found = index.overlaps(next(iter(words_of([text]))))
+        assert [(x[0], x[3]) for x in found] == [(item, matched)]
+    assert not index.overlaps(next(iter(words_of([chinese[::-1]]))))
