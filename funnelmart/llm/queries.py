@@ -9,6 +9,7 @@ from funnelmart.llm.near_dedup import op9_icws_near_dedup
 from funnelmart.llm.personal_data import op10_weak_supervision_pii
 from funnelmart.llm.quality import op6_bradley_terry_quality
 from funnelmart.llm.sharding import op4_hypergeometric_sharding
+from funnelmart.llm.sliced_index import OP12_SQL, op12_bit_sliced_top_k
 from funnelmart.llm.toxicity import op8_segment_toxicity
 from funnelmart.llm.vector_dedup import op5_pruned_graph_dedup
 from funnelmart.llm.warc import op7_warc_index_merge
@@ -26,6 +27,10 @@ QUERIES = {
         op8_segment_toxicity,
         op9_icws_near_dedup,
         op10_weak_supervision_pii,
+        op12_bit_sliced_top_k,
     )
 }
-SQL: dict[str, str] = {"op1_reply_tree_chat": OP1_SQL}
+SQL: dict[str, str] = {
+    "op1_reply_tree_chat": OP1_SQL,
+    "op12_bit_sliced_top_k": OP12_SQL,
+}
