@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from funnelmart.llm.chat import OP1_SQL, op1_reply_tree_chat
+from funnelmart.llm.conversation_repair import OP11_SQL, op11_conversation_repair
 from funnelmart.llm.decontamination import op3_spaced_seed_decontamination
 from funnelmart.llm.mixing import op2_entropy_mixing
 from funnelmart.llm.near_dedup import op9_icws_near_dedup
@@ -27,10 +28,12 @@ QUERIES = {
         op8_segment_toxicity,
         op9_icws_near_dedup,
         op10_weak_supervision_pii,
+        op11_conversation_repair,
         op12_bit_sliced_top_k,
     )
 }
 SQL: dict[str, str] = {
     "op1_reply_tree_chat": OP1_SQL,
+    "op11_conversation_repair": OP11_SQL,
     "op12_bit_sliced_top_k": OP12_SQL,
 }
