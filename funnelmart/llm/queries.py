@@ -11,6 +11,7 @@ from funnelmart.llm.personal_data import op10_weak_supervision_pii
 from funnelmart.llm.quality import op6_bradley_terry_quality
 from funnelmart.llm.sharding import op4_hypergeometric_sharding
 from funnelmart.llm.sliced_index import OP12_SQL, op12_bit_sliced_top_k
+from funnelmart.llm.token_alignment import op13_merge_path_alignment
 from funnelmart.llm.toxicity import op8_segment_toxicity
 from funnelmart.llm.vector_dedup import op5_pruned_graph_dedup
 from funnelmart.llm.warc import op7_warc_index_merge
@@ -30,6 +31,7 @@ QUERIES = {
         op10_weak_supervision_pii,
         op11_conversation_repair,
         op12_bit_sliced_top_k,
+        op13_merge_path_alignment,
     )
 }
 SQL: dict[str, str] = {
