@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20  # all dimensions together that are sent whole to every executor
 HOT_SHARE = 1 / 200  # a key with more than this share of the rows is looked up apart
 KEY_BYTES = 16  # match value and key of one fixed-width row
+ROW = "_row"  # tells stored rows apart
 
 
 @dataclass(frozen=True)
@@ -37,7 +39,7 @@ class Lookup:
 
 def attach_keys(
     rows: DataFrame, lookups: list[Lookup], spread_by: str, profile: DataFrame | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int = BROADCAST_BYTES, store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``rows`` with one key column per lookup; NULL where nothing matches.
 
@@ -47,13 +49,25 @@ def attach_keys(
     itself) and looked up in a broadcast of just those members; all other rows meet the source in a
     shuffle join. Rows that need no partner there, hot or NULL, are spread by ``spread_by`` instead of
     meeting in the task of the NULL key.
+
+    With ``store``, which writes rows and reads them back, rows that need such joins are computed once. Only their
+    match values travel through the joins, and the keys found come back to the whole rows at the end.
     """
     large = beyond(lookups, measure(lookups), broadcast_bytes)
-    hot = hot_values(rows if profile is None else profile, large) if large else {}
-    for lookup in sorted(lookups, key=lambda x: x in large):
-        if lookup in large:
+    if large and store is not None:
+        rows = store(rows.withColumn(ROW, F.monotonically_increasing_id()))
+        narrow = rows.select(ROW, *[F.expr(x.on).alias(f"_on_{x.alias}") for x in large])
+        sought = [replace(x, on=f"`_on_{x.alias}`") for x in large]
+        hot = hot_values(narrow, sought)
+        for lookup in sought:
+            narrow = shuffle_lookup(narrow, lookup, hot[lookup.alias], ROW)
+        rows = rows.join(narrow.select(ROW, *[x.alias for x in large]), ROW).drop(ROW)
+    elif large:
+        hot = hot_values(rows if profile is None else profile, large)
+        for lookup in large:
             rows = shuffle_lookup(rows, lookup, hot[lookup.alias], spread_by)
-        else:
+    for lookup in lookups:
+        if lookup not in large:
             rows = broadcast_lookup(rows, lookup, lookup.pairs())
     return rows
 

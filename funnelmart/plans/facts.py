@@ -50,6 +50,7 @@ SALE_LOOKUPS = (
 )
 
 Tables = Callable[[str], DataFrame]
+Store = Callable[[DataFrame], DataFrame]
 
 
 def lookups(declared, table: Tables) -> list[Lookup]:
@@ -63,14 +64,16 @@ def latest_leads(leads: DataFrame) -> DataFrame:
     return latest_versions(leads, "lead_id", LEAD_VERSION_TIMES)
 
 
-def fact_lead(leads: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def fact_lead(leads: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_BYTES,
+              store: Store | None = None) -> DataFrame:
     """``table`` gives stored dimensions by name.
 
     Hot values are sought among the latest leads, the rows that are joined: a customer may hold many
-    leads of one version each, and so be rare among versions.
+    leads of one version each, and so be rare among versions. ``store`` keeps the latest leads where a
+    dimension is too large to broadcast, so they are found once.
     """
     rows = attach_keys(
-        latest_leads(leads), lookups(LEAD_LOOKUPS, table), "lead_id", broadcast_bytes=broadcast_bytes
+        latest_leads(leads), lookups(LEAD_LOOKUPS, table), "lead_id", broadcast_bytes=broadcast_bytes, store=store
     )
     for name, source in (("is_buyer", "buyer"), ("is_seller", "seller"), ("is_commercial", "commercial")):
         rows = rows.withColumn(name, F.when(F.col(source) == 1, 1).otherwise(0))
@@ -80,9 +83,10 @@ def fact_lead(leads: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_
     return conform(rows, FACT_LEAD)
 
 
-def fact_sale(sales: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def fact_sale(sales: DataFrame, table: Tables, broadcast_bytes: int = BROADCAST_BYTES,
+              store: Store | None = None) -> DataFrame:
     """``table`` gives stored dimensions and the lead fact by name. An unknown lead becomes NULL."""
     rows = attach_keys(
-        sales, lookups(SALE_LOOKUPS, table), "sale_id", broadcast_bytes=broadcast_bytes
+        sales, lookups(SALE_LOOKUPS, table), "sale_id", broadcast_bytes=broadcast_bytes, store=store
     )
     return conform(rows.drop("lead_id").withColumnRenamed("known_lead_id", "lead_id"), FACT_SALE)

@@ -82,3 +82,38 @@ def test_no_python_in_any_plan(spark, wh, capsys):
 def test_exports_are_stored_once_per_application(spark, wh):
     assert registry.warehouse(spark, FOLDER + "/") is wh
     assert set(EXPORTS) <= set(wh._stored)
+
+
+def test_latest_leads_are_found_once_however_large_the_dimensions(spark, wh, capsys):
+    """With no broadcasts, hot values and all thirteen joins read the same stored latest leads."""
+    stored = []
+
+    def store(rows):
+        stored.append(plan(rows, capsys))
+        path = wh.store.scratch("test-latest")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = facts.fact_lead(wh.table("stg_leads"), wh.table, broadcast_bytes=0, store=store)
+        text = plan(rows, capsys)
+        small = sorted(map(tuple, wh.plan("fact_lead").collect()), key=repr)
+        assert sorted(map(tuple, rows.collect()), key=repr) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    tree = stored[0].split("\n\n\n")[0]
+    assert len(stored) == 1 and len(re.findall(r"Exchange \(", tree)) == 1, "one aggregate, stored"
+    assert not re.search(r"Arguments: hashpartitioning\(lead_id", text) and "budget" in text
+    joins = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange", part) and "budget" in part]
+    assert len(joins) == 1, "whole rows travel once, their match values alone before"
+
+
+def test_sale_fact_agrees_without_broadcasts(spark, wh):
+    def store(rows):
+        path = wh.store.scratch("test-sales")
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    rows = facts.fact_sale(wh.table("stg_sales"), wh.table, broadcast_bytes=0, store=store)
+    assert sorted(map(tuple, rows.collect()), key=repr) == sorted(map(tuple, wh.plan("fact_sale").collect()), key=repr)
