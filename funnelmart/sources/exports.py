@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelmart.functions.numbers import lenient_cast
 from funnelmart.functions.text import literal
 from funnelmart.schemas import Table
+from funnelmart.sources.csv_records import csv_records, largest_file
 
 MALFORMED = "_malformed"  # 1 for a record that does not have the shape of its file
 RAW = "_raw_record"
+FIRST_RECORDS = 1_000  # of a JSON export, which usually name every column; if they don't, all are looked at
 
 
 def read_export(spark: SparkSession, path: str, table: Table, format: str = "parquet",
@@ -22,21 +24,28 @@ def read_export(spark: SparkSession, path: str, table: Table, format: str = "par
     declared column that the export lacks is an error, unless ``fill_missing`` asks for NULLs. JSON
     records may leave out empty values and spell names each in its own way, so there a column is lacking only if
     no record of any file names it. Values that do not fit a column's type become NULL. CSV has a header line;
-    ``multi_line`` allows line breaks within quotes, and has each file read by one task. Without it such
-    a record is broken into pieces, which ``_malformed`` marks.
+    ``multi_line`` allows line breaks within quotes; a file larger than a task reads is then read by many, which
+    needs quotes that balance. Without it such a record is broken into pieces, which ``_malformed`` marks. JSON has
+    one record a line; records over several lines are refused.
     """
     if format == "csv":
         # without column pruning, which would let records of a wrong length pass
         options = {
             "header": True, "multiLine": multi_line, "escape": '"', "enforceSchema": False, "columnPruning": False,
         }
-        rows = spark.read.schema(as_text(header(spark, path, options))).options(**options)
-        rows = rows.option("columnNameOfCorruptRecord", RAW).csv(path)
+        names = header(spark, path, options)
+        if multi_line and largest_file(spark, path) > split_bytes(spark):
+            rows = csv_records(spark, path, names, RAW)
+        else:
+            rows = spark.read.schema(as_text(names)).options(**options)
+            rows = rows.option("columnNameOfCorruptRecord", RAW).csv(path)
+        known = set(spelled(rows, table))
     elif format == "json":
-        rows = json_records(spark, path, table)
+        rows, known = json_records(spark, path, table, fill_missing)
     else:
         rows = spark.read.format(format).load(path)
-    absent = set(table.names) - set(spelled(rows, table))
+        known = set(spelled(rows, table))
+    absent = set(table.names) - known
     if absent and not fill_missing:
         raise ValueError(f"{table.name}: {path} has no column {', '.join(sorted(absent))}")
     broken = F.col(RAW).isNotNull().cast("int") if RAW in rows.columns else F.lit(0)
@@ -44,6 +53,11 @@ def read_export(spark: SparkSession, path: str, table: Table, format: str = "par
     return conform(marked, table, MALFORMED)
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Most bytes of a file that one task reads."""
+    return int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+
+
 def as_text(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in [*names, RAW]])
 
@@ -53,24 +67,39 @@ def header(spark: SparkSession, path: str, options: dict) -> list[str]:
     return spark.read.options(**options).csv(path).columns
 
 
-def json_records(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """The declared columns that any record of a JSON export names, as text, and the malformed records.
+def json_records(spark: SparkSession, path: str, table: Table, fill_missing: bool) -> tuple[DataFrame, set[str]]:
+    """The declared columns of a JSON export as text, with its malformed records, and which of them any record names.
 
-    One pass over all records finds how they spell the names. Of several spellings in one record the declared one goes first,
-    if it has a value.
+    Names are matched record by record, regardless of case, in the same pass that parses: the declared spelling goes
+    first if it has a value, then others in order. The first records tell which columns are named; only if they lack one that must
+    not be absent are all records asked.
     """
     lines = spark.read.text(path).where("trim(value) <> ''")
-    wanted = [name.lower() for name in table.names]
-    found = lines.select(F.explode(F.json_object_keys("value")).alias("name")).where(F.lower("name").isin(wanted))
-    names = sorted(row["name"] for row in found.distinct().collect())
     record = F.col("record")
+    parsed = lines.select("value", F.from_json("value", "map<string,string>").alias("record"))
     columns = []
     for declared in table.names:
-        known = sorted((n for n in names if n.lower() == declared.lower()), key=lambda n: (n != declared, n))
-        if known:
-            columns.append(F.coalesce(*[record.getItem(n) for n in known]).alias(declared))
-    parsed = lines.select("value", F.from_json("value", "map<string,string>").alias("record"))
-    return parsed.select(*columns, F.when(record.isNull(), F.col("value")).alias(RAW))
+        columns.append(F.coalesce(record.getItem(declared), value_like(record, declared)).alias(declared))
+    rows = parsed.select(*columns, F.when(record.isNull(), F.col("value")).alias(RAW))
+
+    wanted = {column.name.lower(): column for column in table.columns}
+    must = {name for name, column in wanted.items() if column.required or not fill_missing}
+    first = parsed.select("value", F.map_keys(record).alias("names")).take(FIRST_RECORDS)
+    if first and first[0]["names"] is None and (first[0]["value"].strip()[:1] == "[" or first[0]["value"].strip() == "{"):
+        raise ValueError(f"{table.name}: {path} has JSON records over several lines; one record a line is read")
+    named = {name.lower() for row in first for name in row["names"] or ()} & set(wanted)
+    if must - named and len(first) == FIRST_RECORDS:
+        found = lines.select(F.explode(F.json_object_keys("value")).alias("name")).select(F.lower("name").alias("name"))
+        named |= {row["name"] for row in found.where(F.col("name").isin(list(wanted))).distinct().collect()}
+    known = {wanted[name].name for name in named}
+    absent = [name for name in table.names if name not in known]
+    return rows if not must - named else rows.drop(*absent), known
+
+
+def value_like(record: Column, name: str) -> Column:
+    """The first value in a map whose key is ``name`` in any case."""
+    like = F.filter(F.map_entries(record), lambda e: (F.lower(e["key"]) == name.lower()) & e["value"].isNotNull())
+    return F.array_min(like)["value"]
 
 
 def spelled(rows: DataFrame, table: Table) -> dict[str, str]:
