@@ -4,8 +4,8 @@ Both tokenizers cut a text into tokens whose bytes are the text. Merging the two
 offsets where both end; between two of those lies a group, and every token of one side overlaps those of the other
 in its group. Where a text is long, the merge is cut: the path that a merge takes through the grid of both lists
 crosses each diagonal once, at a place that a binary search finds without merging anything before it, so equally
-spaced diagonals give pieces of equal work that know nothing of each other. Pieces are dealt to tasks; each gives its
-whole groups and, open, what lies before its first and after its last common end. The open ends of neighbouring pieces are
+spaced diagonals give pieces of equal work that know nothing of each other. Pieces are stored, and tasks share them by
+bytes, not by document; each gives its whole groups and, open, what lies before its first and after its last common end. The open ends of neighbouring pieces are
 stitched into the groups that the cuts went through.
 
 How many documents hold a pair of ids linked is counted over the corpus. Most links are of few pairs: the most frequent
@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -47,14 +48,14 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 OVERLAP = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("times", pa.int32())])
 INTS = pa.list_(pa.int32())
 ROW = {
-    "row": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups": pa.string(),
+    "row": pa.int64(), "name": pa.string(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups": pa.string(),
     "overlaps": pa.list_(OVERLAP),
 }
-CUT = {"piece": pa.int32(), "a": INTS, "a_ends": pa.list_(pa.int64()), "b": INTS, "b_ends": pa.list_(pa.int64())}
+CUT = {"piece": pa.int32(), "a": INTS, "a_start": pa.int64(), "b": INTS, "b_start": pa.int64()}
 OPEN = {"piece": pa.int32(), "closed": pa.bool_(), "head_a": INTS, "head_b": INTS, "tail_a": INTS, "tail_b": INTS}
 STRUCTS = "array<struct<a int, b int, times int>>"
-ROW_SCHEMA = f"row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, overlaps {STRUCTS}"
-CUT_SCHEMA = "piece int, a array<int>, a_ends array<bigint>, b array<int>, b_ends array<bigint>"
+ROW_SCHEMA = f"row bigint, name string, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, overlaps {STRUCTS}"
+CUT_SCHEMA = "piece int, a array<int>, a_start bigint, b array<int>, b_start bigint"
 OPEN_SCHEMA = "piece int, closed boolean, head_a array<int>, head_b array<int>, tail_a array<int>, tail_b array<int>"
 
 
@@ -84,17 +85,26 @@ class ByteLevel:
             self.plain = tokenizers.Tokenizer.from_file(path)
             self.plain.encode_special_tokens = True
         self.bytes = {i: token for token, i in ranks.items()}
+        self.lossless = self.by_rank and all(bytes([b]) in ranks for b in range(256))
+        self.spaced = np.zeros(len(self.length), dtype=bool)
+        self.spaced[[i for token, i in ranks.items() if token[:1] == b" "]] = True
 
     def encode(self, text: str) -> np.ndarray:
         ids = self.ranked.encode_ordinary(text) if self.by_rank else self.plain.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype=np.int32)
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it; all are cut as one text, in which only words start with a space."""
+        ids = self.encode("".join([f" {word}" for word in words]))
+        data, starts = ids.tobytes(), (4 * np.flatnonzero(self.spaced[ids])).tolist()
+        return [data[start:end] for start, end in zip(starts, [*starts[1:], len(data)])]
+
     def spells(self, ids: np.ndarray, data: bytes) -> bool:
-        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == data
+        return self.lossless or b"".join(map(self.bytes.__getitem__, ids.tolist())) == data
 
 
 class Pieces:
-    """A SentencePiece model; its pieces of a text are those of the words, for no piece goes on past the end of a word."""
+    """A SentencePiece model; ``by_word`` if no piece goes on past the end of a word."""
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -104,53 +114,69 @@ class Pieces:
         ]
         self.length = np.array([len(b) for b in self.bytes], dtype=np.int64)
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", name) for name in names)
-        self.known: dict[str, tuple[bytes, bool]] = {}
-
-    def encode_word(self, word: str) -> tuple[bytes, bool]:
-        """Ids of a word with a space before it, and whether their bytes are it."""
-        ids = self.model.encode(word, num_threads=1)
-        found = np.array(ids, dtype=np.int32).tobytes(), self.joined(ids) == b" " + word.encode()
-        if len(word) <= WORD_LENGTH:
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            self.known[word] = found
-        return found
-
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join([self.bytes[i] for i in ids])
-
-    def encode(self, text: str, data: bytes) -> np.ndarray | None:
-        """Ids of ``text`` with a space before it, whose bytes are ``data``; null if theirs are not."""
-        if not self.by_word or SPACE in text:
-            ids = self.model.encode(text, num_threads=1)
-            return np.array(ids, dtype=np.int32) if self.joined(ids) == data else None
-        known, encode = self.known.get, self.encode_word
-        found = [known(word) or encode(word) for word in words_of(text)]
-        ids = np.frombuffer(b"".join([x for x, _ in found]), dtype=np.int32)
-        whole = all([same for _, same in found]) or self.joined(ids.tolist()) == data
-        return ids if whole else None
-
-
-def words_of(text: str) -> list[str]:
-    """Parts that with a space before each make up the text with a space before it; further spaces go to the word after them."""
-    words = text.split(" ")
-    if "" not in words:
-        return words
-    out, spaces = [], 0
-    for word in words:
-        if word:
-            out.append(" " * spaces + word)
-            spaces = 0
-        else:
-            spaces += 1
-    if spaces and out:
-        out[-1] += " " * spaces
-    return out or [" " * (spaces - 1)]
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text, num_threads=1), dtype=np.int32)
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with a space before it."""
+        return [array("i", ids).tobytes() for ids in self.model.encode(words, num_threads=1)]
+
+    def spells(self, ids: np.ndarray, data: bytes) -> bool:
+        return b"".join(map(self.bytes.__getitem__, ids.tolist())) == data
+
+
+class Both:
+    """Ids of texts on both sides, by word where words can be cut apart.
+
+    Where single spaces stand between words that neither start nor end with white space, both sides start a token at
+    each of those spaces, so a text's ids are those of its words. Words that a worker meets early, which the frequent
+    ones are, are remembered.
+    """
+
+    def __init__(self, a: str, b: str):
+        self.a, self.b = ByteLevel(a), Pieces(b)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.ids = max(len(self.a.length), len(self.b.length))
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Per text its ids on both sides, with a space before the text; none where their bytes are not the text."""
+        words = [text.split(" ") for text in texts]
+        known = self.known.get
+        found = [list(map(known, line)) for line in words]
+        lacking = dict.fromkeys(w for line, ids in zip(words, found) if None in ids for w, x in zip(line, ids) if x is None)
+        fresh = self.encode_words([w for w in lacking if w and w == w.strip() and SPACE not in w]) if self.b.by_word else {}
+        out = []
+        for text, line, ids in zip(texts, words, found):
+            if None in ids:
+                ids = [fresh.get(w) if x is None else x for w, x in zip(line, ids)]
+            out.append(self.encode_whole(text) if None in ids else tuple(
+                np.frombuffer(b"".join([x[side] for x in ids]), dtype=np.int32) for side in (0, 1)
+            ))
+        return out
+
+    def encode_words(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of words whose bytes they are; others are left out, so that their texts are looked at as a whole."""
+        fresh = {}
+        if not words:
+            return fresh
+        for word, a, b in zip(words, self.a.encode_words(words), self.b.encode_words(words)):
+            data = b" " + word.encode()
+            if all(side.spells(np.frombuffer(ids, dtype=np.int32), data) for side, ids in ((self.a, a), (self.b, b))):
+                fresh[word] = a, b
+                if len(word) <= WORD_LENGTH and len(self.known) < WORDS:
+                    self.known[word] = a, b
+        return fresh
+
+    def encode_whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        a, b = self.a.encode(" " + text), self.b.encode(text)
+        data = b" " + text.encode()
+        return (a, b) if self.a.spells(a, data) and self.b.spells(b, data) else None
 
 
 @lru_cache(maxsize=2)
-def both(a: str, b: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a), Pieces(b)
+def both(a: str, b: str) -> Both:
+    return Both(a, b)
 
 
 @lru_cache(maxsize=1)
@@ -178,49 +204,49 @@ def crossings(a_ends: np.ndarray, b_ends: np.ndarray, diagonals: np.ndarray) ->
 
 
 def cut(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, work: int) -> Iterator[dict]:
-    """Pieces of about ``work`` ends each."""
+    """Pieces of about ``work`` ends each; a side's tokens and the offset where the first of them starts."""
     total = len(a) + len(b)
     i, j = crossings(a_ends, b_ends, np.arange(work, total, work))
     for n, (i0, i1, j0, j1) in enumerate(zip([0, *i], [*i, len(a)], [0, *j], [*j, len(b)])):
-        yield {"piece": n, "a": a[i0:i1], "a_ends": a_ends[i0:i1], "b": b[j0:j1], "b_ends": b_ends[j0:j1]}
+        starts = (int(ends[at - 1]) if at else 0 for ends, at in ((a_ends, i0), (b_ends, j0)))
+        yield {"piece": n, "a": a[i0:i1], "a_start": next(starts), "b": b[j0:j1], "b_start": next(starts)}
 
 
-def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+def last_tokens(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of each side that end where one of the other side ends."""
     if not len(a_ends) or not len(b_ends):
-        return a_ends[:0]
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     place = np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)
-    return a_ends[b_ends[place] == a_ends]
+    a_last = np.flatnonzero(b_ends[place] == a_ends)
+    return a_last, place[a_last]
 
 
 @dataclass
 class Groups:
-    """Whole groups of a stretch of tokens: ``a_of`` and ``b_of`` give each token's group, none is empty on either side."""
+    """Whole groups of a stretch of tokens, by the places of their last tokens on both sides."""
 
     a: np.ndarray
     b: np.ndarray
-    a_of: np.ndarray
-    b_of: np.ndarray
-    n: int
-
-    @classmethod
-    def between(cls, a, a_ends, b, b_ends, common) -> Groups:
-        return cls(a, b, np.searchsorted(common, a_ends), np.searchsorted(common, b_ends), len(common))
+    a_last: np.ndarray
+    b_last: np.ndarray
 
     def __post_init__(self):
-        self.a_first = np.searchsorted(self.a_of, np.arange(self.n + 1))
-        self.b_first = np.searchsorted(self.b_of, np.arange(self.n + 1))
-        self.links = np.diff(self.a_first) * np.diff(self.b_first)
+        self.n = len(self.a_last)
+        self.a_first, self.b_first = (np.concatenate([[0], last + 1]) for last in (self.a_last, self.b_last))
+        self.a_size, self.b_size = np.diff(self.a_first), np.diff(self.b_first)
+        self.a_of, self.b_of = (np.repeat(np.arange(self.n), size) for size in (self.a_size, self.b_size))
+        self.links = self.a_size * self.b_size
 
     def texts(self, stops: np.ndarray, ids: int) -> list[str]:
         """The ids of both sides group by group; one text up to each group in ``stops``, without its last separator."""
         name = decimals(ids)
         out = np.empty(len(self.a) + len(self.b), dtype=object)
-        last = np.zeros(len(self.a), dtype=bool)
-        last[self.a_first[1:] - 1] = True
-        out[np.arange(len(self.a)) + self.b_first[self.a_of]] = np.where(last, name["|"][self.a], name[","][self.a])
-        last = np.zeros(len(self.b), dtype=bool)
-        last[self.b_first[1:] - 1] = True
-        out[np.arange(len(self.b)) + self.a_first[self.b_of + 1]] = np.where(last, name[";"][self.b], name[","][self.b])
+        for side, last, before, end in (
+            (self.a, self.a_last, self.b_first[:-1][self.a_of], "|"), (self.b, self.b_last, self.a_first[1:][self.b_of], ";")
+        ):
+            place = np.arange(len(side)) + before
+            out[place] = name[","][side]
+            out[place[last]] = name[end][side[last]]
         ends = (self.a_first + self.b_first)[stops].tolist()
         flat = out.tolist()
         return ["".join(flat[start:end])[:-1] for start, end in zip([0, *ends], ends)]
@@ -228,9 +254,8 @@ class Groups:
     def overlaps(self, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Owners of groups, pairs of ids linked in their groups, and how often; by owner, then ids."""
         plain = self.links <= PLAIN_GROUP
-        wide = np.diff(self.b_first)
         mine = np.flatnonzero(plain[self.a_of])
-        each = wide[self.a_of[mine]]
+        each = self.b_size[self.a_of[mine]]
         left = np.repeat(mine, each)
         group = self.a_of[left]
         right = np.arange(len(left)) - np.repeat(np.cumsum(each) - each, each) + self.b_first[group]
@@ -277,19 +302,22 @@ def batch(schema: dict[str, pa.DataType], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(list(schema.items())))
 
 
-def merged(rows: list[int], tokens: list[tuple], ids: int, schema: dict) -> pa.RecordBatch:
+def keys(rows: list[tuple]) -> dict[str, list]:
+    return {"row": [row for row, _ in rows], "name": [name for _, name in rows]}
+
+
+def merged(rows: list[tuple], tokens: list[tuple], ids: int, schema: dict) -> pa.RecordBatch:
     """One row per short document; all are merged as one, as documents end on both sides at once."""
     a, a_ends, b, b_ends = (np.concatenate(x) for x in zip(*tokens))
     before = np.cumsum([0, *[t[1][-1] for t in tokens]])
     a_ends = a_ends + np.repeat(before[:-1], [len(t[0]) for t in tokens])
     b_ends = b_ends + np.repeat(before[:-1], [len(t[2]) for t in tokens])
-    common = common_ends(a_ends, b_ends)
-    groups = Groups.between(a, a_ends, b, b_ends, common)
-    stops = np.searchsorted(common, before[1:]) + 1
+    groups = Groups(a, b, *last_tokens(a_ends, b_ends))
+    stops = np.searchsorted(a_ends[groups.a_last], before[1:]) + 1
     firsts = np.concatenate([[0], stops[:-1]])
     owner = np.repeat(np.arange(len(rows)), stops - firsts)
     return batch(
-        schema, row=rows, n_a=[len(t[0]) for t in tokens], n_b=[len(t[2]) for t in tokens], n_groups=stops - firsts,
+        schema, **keys(rows), n_a=[len(t[0]) for t in tokens], n_b=[len(t[2]) for t in tokens], n_groups=stops - firsts,
         n_links=np.add.reduceat(groups.links, firsts), groups=groups.texts(stops, ids),
         overlaps=overlap_lists(len(rows), *groups.overlaps(owner)),
     )
@@ -298,54 +326,62 @@ def merged(rows: list[int], tokens: list[tuple], ids: int, schema: dict) -> pa.R
 def tokenized(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, work: int) -> Iterator[pa.RecordBatch]:
     """Aligned rows of short documents, and pieces of long ones (``piece`` is not null), from rows and texts."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    first, second = both(a_path, b_path)
-    ids = max(len(first.length), len(second.length))
+    sides = both(a_path, b_path)
     schema = ROW | CUT
     for part in batches:
-        rows, tokens, held = [], [], 0
-        for row, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            data = b" " + text.encode() if text else b""
-            b = second.encode(text, data) if text else None
-            a = first.encode(" " + text) if b is not None else None
-            if a is None or not first.spells(a, data):
-                yield batch(schema, row=[row], n_a=[0], n_b=[0], n_groups=[0], n_links=[0], groups=[""], overlaps=[[]])
-                continue
-            own = a, np.cumsum(first.length[a]), b, np.cumsum(second.length[b])
-            if len(a) + len(b) > work:
-                for piece in cut(*own, work):
-                    yield batch(schema, row=[row], **{name: [value] for name, value in piece.items()})
-                continue
-            rows.append(row)
+        rows, texts = list(zip(part.column(0).to_pylist(), part.column(1).to_pylist())), part.column(2).to_pylist()
+        size = np.cumsum([0, *[len(text or "") for text in texts]])
+        stops = [*np.searchsorted(size, np.arange(TEXT_BYTES, size[-1], TEXT_BYTES)).tolist(), len(rows)]
+        for start, stop in zip([0, *stops], stops):
+            yield from aligned_rows(rows[start:stop], texts[start:stop], sides, work, schema)
+
+
+def aligned_rows(rows: list[tuple], texts: list[str | None], sides: Both, work: int, schema: dict) -> Iterator[pa.RecordBatch]:
+    some = [i for i, text in enumerate(texts) if text]
+    found = dict(zip(some, sides.encode([texts[i] for i in some])))
+    bare = [row for i, row in enumerate(rows) if found.get(i) is None]
+    if bare:
+        zeros = [0] * len(bare)
+        yield batch(schema, **keys(bare), n_a=zeros, n_b=zeros, n_groups=zeros, n_links=zeros, groups=[""] * len(bare), overlaps=[[]] * len(bare))
+    short, tokens = [], []
+    for i, ids in found.items():
+        if ids is None:
+            continue
+        own = ids[0], np.cumsum(sides.a.length[ids[0]]), ids[1], np.cumsum(sides.b.length[ids[1]])
+        if len(own[0]) + len(own[2]) > work:
+            for piece in cut(*own, work):
+                yield batch(schema, **keys([rows[i]]), **{name: [value] for name, value in piece.items()})
+        else:
+            short.append(rows[i])
             tokens.append(own)
-            held += len(data)
-            if held >= TEXT_BYTES:
-                yield merged(rows, tokens, ids, schema)
-                rows, tokens, held = [], [], 0
-        if rows:
-            yield merged(rows, tokens, ids, schema)
+    if short:
+        yield merged(short, tokens, sides.ids, schema)
 
 
 def numbers(column: pa.Array, i: int) -> np.ndarray:
     return column[i].values.to_numpy(zero_copy_only=False)
 
 
-def merge_pieces(batches: Iterator[pa.RecordBatch], ids: int) -> Iterator[pa.RecordBatch]:
+def merge_pieces(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     """Whole groups of each piece, and what lies open at its ends; a piece knows nothing of its neighbours."""
     schema = ROW | OPEN
+    sides = both(a_path, b_path)
     for part in batches:
         given = dict(zip(part.schema.names, part.columns))
-        for i, (row, piece) in enumerate(zip(given["row"].to_pylist(), given["piece"].to_pylist())):
-            a, a_ends, b, b_ends = (numbers(given[c], i) for c in ("a", "a_ends", "b", "b_ends"))
-            common = common_ends(a_ends, b_ends)
-            out = {"row": [row], "piece": [piece], "closed": [len(common) > 0], "n_a": [len(a)], "n_b": [len(b)]}
-            if not len(common):
+        rows = zip(given["row"].to_pylist(), given["name"].to_pylist())
+        for i, (row, piece) in enumerate(zip(rows, given["piece"].to_pylist())):
+            a, b = numbers(given["a"], i), numbers(given["b"], i)
+            a_ends = np.cumsum(sides.a.length[a]) + given["a_start"][i].as_py()
+            b_ends = np.cumsum(sides.b.length[b]) + given["b_start"][i].as_py()
+            a_last, b_last = last_tokens(a_ends, b_ends)
+            out = {**keys([row]), "piece": [piece], "closed": [len(a_last) > 0], "n_a": [len(a)], "n_b": [len(b)]}
+            if not len(a_last):
                 yield batch(schema, **out, head_a=[a], head_b=[b], tail_a=[[]], tail_b=[[]], n_groups=[0], n_links=[0], groups=[""],
                             overlaps=[[]])
                 continue
-            a0, a1 = np.searchsorted(a_ends, [common[0], common[-1]], side="right")
-            b0, b1 = np.searchsorted(b_ends, [common[0], common[-1]], side="right")
-            groups = Groups.between(a[a0:a1], a_ends[a0:a1], b[b0:b1], b_ends[b0:b1], common[1:])
-            text = groups.texts(np.array([groups.n]), ids)
+            (a0, a1), (b0, b1) = ((last[0] + 1, last[-1] + 1) for last in (a_last, b_last))
+            groups = Groups(a[a0:a1], b[b0:b1], a_last[1:] - a0, b_last[1:] - b0)
+            text = groups.texts(np.array([groups.n]), sides.ids)
             yield batch(
                 schema, **out, head_a=[a[:a0]], head_b=[b[:b0]], tail_a=[a[a1:]], tail_b=[b[b1:]], n_groups=[groups.n],
                 n_links=[int(groups.links.sum())], groups=text,
@@ -368,7 +404,7 @@ def stitch(table: pa.Table, ids: int) -> pa.Table:
             if given["groups"][i].as_py():
                 texts.append(given["groups"][i].as_py())
     a, b = (np.concatenate([s[side] for s in seams]) for side in (0, 1))
-    groups = Groups(a, b, *(np.repeat(np.arange(len(seams)), [len(s[side]) for s in seams]) for side in (0, 1)), len(seams))
+    groups = Groups(a, b, *(np.cumsum([len(s[side]) for s in seams]) - 1 for side in (0, 1)))
     inside = given["overlaps"].flatten()
     found = [np.concatenate([x, y]) for x, y in zip(
         groups.overlaps(np.zeros(len(seams), dtype=np.int64)),
@@ -376,15 +412,15 @@ def stitch(table: pa.Table, ids: int) -> pa.Table:
     )]
     total = {name: [int(np.sum(given[name].to_numpy()))] for name in ("n_a", "n_b")}
     return pa.Table.from_batches([batch(
-        ROW, row=[given["row"][0].as_py()], **total, n_groups=[len(seams) + int(np.sum(given["n_groups"].to_numpy()))],
+        ROW, row=[given["row"][0].as_py()], name=[given["name"][0].as_py()], **total, n_groups=[len(seams) + int(np.sum(given["n_groups"].to_numpy()))],
         n_links=[int(groups.links.sum() + np.sum(given["n_links"].to_numpy()))], groups=[";".join(texts)],
         overlaps=overlap_lists(1, *added_up(*found)),
     )])
 
 
-def align(documents: DataFrame, scratch: Scratch, text: str = "text", a: str = BYTE_LEVEL, b: str = PIECES, work: int = PIECE,
+def align(documents: DataFrame, scratch: Scratch, identity: str = "doc_id", text: str = "text", a: str = BYTE_LEVEL, b: str = PIECES, work: int = PIECE,
           shape: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
-    """One row per row of ``documents``, whose column ``row`` tells them apart: the alignment of its tokens.
+    """One row per row of ``documents``, told apart by ``row``: its id as text, ``name``, and the alignment of its tokens.
 
     ``n_a``, ``n_b``, ``n_groups``, ``n_links`` count tokens, groups and links; ``groups`` is ``a1,a2|b1;a3|b2,b3``, the ids of
     each group; ``overlaps`` holds each pair of ids that is linked, and how many times. A space stands before the
@@ -394,17 +430,15 @@ def align(documents: DataFrame, scratch: Scratch, text: str = "text", a: str = B
     """
     bounded_batches(documents.sparkSession)
     names = list(ROW)
-    texts = documents.select("row", col(text).cast("string").alias("text"))
+    texts = documents.select(F.monotonically_increasing_id().alias("row"), col(identity).cast("string"), col(text).cast("string"))
     whole = texts.mapInArrow(lambda batches: tokenized(batches, a, b, work), f"{ROW_SCHEMA}, {CUT_SCHEMA}")
     stored = scratch.keep(shape(whole), "tokens")
     short = stored.where("piece is null").drop(*CUT)
-    pieces = stored.where("piece is not null").select("row", *CUT)
+    pieces = stored.where("piece is not null").select("row", "name", *CUT)
     if pieces.isEmpty():
         return short
-    ids = max(len(x.length) for x in both(a, b))
-    spread = pieces.repartition("row", "piece")
-    open_ended = spread.mapInArrow(lambda batches: merge_pieces(batches, ids), f"{ROW_SCHEMA}, {OPEN_SCHEMA}")
-    long = open_ended.groupBy("row").applyInArrow(lambda table: stitch(table, ids), ROW_SCHEMA).select(*names)
+    open_ended = pieces.mapInArrow(lambda batches: merge_pieces(batches, a, b), f"{ROW_SCHEMA}, {OPEN_SCHEMA}")
+    long = open_ended.groupBy("row").applyInArrow(lambda table: stitch(table, both(a, b).ids), ROW_SCHEMA).select(*names)
     return short.unionByName(scratch.keep(shape(long), "stitched"))
 
 
@@ -448,15 +482,12 @@ def link_sums(aligned: DataFrame, scratch: Scratch, hot_pairs: int = HOT_PAIRS)
 def aligned_documents(documents: DataFrame, scratch: Scratch, identity: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Digest columns of every row of ``documents``; repeated rows and null ids are documents of their own."""
     hot_pairs = options.pop("hot_pairs", HOT_PAIRS)
-    rows = scratch.keep(documents.select(
-        F.monotonically_increasing_id().alias("row"), col(identity).alias("doc_id"), col(text).alias("text")
-    ), "rows")
     digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
-    aligned = align(rows, scratch, shape=lambda t: t.select("*", digest).drop("groups"), **options)
+    aligned = align(documents, scratch, identity, text, shape=lambda rows: rows.select("*", digest).drop("groups"), **options)
     sums = link_sums(aligned, scratch, hot_pairs)
-    return rows.select("row", "doc_id").join(aligned.drop("overlaps"), "row").join(sums, "row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_best", "count_sum")],
-        "groups_sha256",
+    return aligned.drop("overlaps").join(sums, "row", "left").select(
+        F.col("name").cast(documents.schema[identity].dataType).alias("doc_id"), "n_a", "n_b", "n_groups", "n_links",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_best", "count_sum")], "groups_sha256",
     )
 
 
