@@ -25,12 +25,17 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("spelled_email", "number", "name")
 KINDS = (*BASE, *ADDED)
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns as stated, but so that no run of characters is gone over once per character of it. An address can
+# only start at the start of a run, or where the span before it ended; a number only at its first digit.
+LOCAL = re.compile(r"[A-Za-z0-9._%+-]+@?")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-SPELLED = re.compile(r"[A-Za-z0-9._-]{2,} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,}", re.I)
+AT = re.compile(r"(?=(\[at\]|\(at\)| at ))", re.I)
+SPELLED_LOCAL = re.compile(r"[A-Za-z0-9._-]+")
+SPELLED_DOMAIN = re.compile(r" ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,}", re.I)
 NUMBER = re.compile(r"(?<![\w.+-])[0-9(][0-9 ().-]{5,24}[0-9](?![\w-])")
 
 
@@ -75,11 +80,42 @@ def digits_of(text: str) -> str:
     return "".join(DIGIT.findall(text))
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost addresses that don't overlap: a run of characters before each @, and a domain behind it."""
+    free = 0
+    for run in LOCAL.finditer(text):
+        start, at = max(run.start(), free), run.end() - 1
+        if text[at] == "@" and start < at:
+            domain = DOMAIN.match(text, at + 1)
+            if domain:
+                free = domain.end()
+                yield start, free
+
+
+def spelled_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost spelled-out addresses that don't overlap; looked for around each "at"."""
+    runs = SPELLED_LOCAL.finditer(text)
+    run, free = next(runs, None), 0
+    for at in AT.finditer(text):
+        while run and run.end() < at.start() - 1:
+            run = next(runs, None)
+        for end in (at.start() - 1, at.start()):  # a space may stand between
+            while run and run.end() < end:
+                run = next(runs, None)
+            if run and run.end() == end and (end == at.start() or text[end] == " "):
+                start = max(run.start(), free)
+                domain = SPELLED_DOMAIN.match(text, at.end(1)) if end - start >= 2 else None
+                if domain:
+                    free = domain.end()
+                    yield start, free
+                    break
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the four fixed kinds, by start and then by kind."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        out += [("email", *span) for span in emails(text)]
     if DIGIT.search(text):
         for m in IP.finditer(text):
             if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.group().split(".")):
@@ -98,7 +134,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     found = []
     low = text.lower()
     if "at" in low and "dot" in low:
-        found += [("spelled_email", *m.span()) for m in SPELLED.finditer(text)]
+        found += [("spelled_email", *span) for span in spelled_emails(text)]
     if DIGIT.search(text):
         found += [("number", *m.span()) for m in NUMBER.finditer(text)]
     found += [("name", *m.span(1)) for m in NAME.finditer(text)]

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 from funnelmart.llm import personal_data as pd
 from funnelmart.llm.queries import QUERIES
@@ -114,3 +116,44 @@ def test_many_names_do_not_decide_about_numbers():
     patterns = [("phone", "++0+00", 300), ("number", "0+0+00", 80), ("number", "0-00--", 200), ("number", "0-0000", 150)]
     names = [("name", "00-000", 30_000), ("name", "00++00", 100)]
     assert pd.accepted(patterns + names) == [*pd.accepted(patterns), ("name", "00++00")]
+
+
+SPELLED = re.compile(r"[A-Za-z0-9._-]{2,} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]+ ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,}", re.I)
+
+
+def test_scans_agree_with_the_patterns_on_random_strings():
+    """The patterns as stated, tried from every character, against the scans that try each run once."""
+    rng = random.Random(6)
+    pieces = ["a", "b1", "@", "@", ".", ".", "_", "-", "%", "1", "23", "255", "256", " ", "+", "(", "4111111111111111", "é"]
+    spelled = ["ab", "a", "b1", "x.y", " at ", "[at]", "(AT)", " ", "at", " dot ", "(dot)", "[DOT]", "com", ".", " At "]
+    seen = {kind: 0 for kind in pd.BASE}
+    for _ in range(30_000):
+        text = "".join(rng.choice(rng.choice([pieces, ["1", "23", "255", "256", ".", ".", ". "]])) for _ in range(rng.randrange(30)))
+        if rng.random() < 0.3:
+            text = "".join(rng.choice(["1", "23", "255", "256", ".", ".", ".", " "]) for _ in range(rng.randrange(30)))
+        wanted = naive(text)
+        assert pd.base_spans(text) == wanted, text
+        for kind, *_ in wanted:
+            seen[kind] += 1
+        text = "".join(rng.choice(spelled) for _ in range(rng.randrange(14)))
+        assert list(pd.spelled_emails(text)) == [m.span() for m in SPELLED.finditer(text)], text
+    assert min(seen.values()) > 30
+
+
+def test_very_long_runs_take_seconds():
+    n = 1_000_000
+    long = [
+        "1" * n, " " + "a" * n + " x@", "a" * n + " at dot", "1." * (n // 2), " at " * (n // 4), "a@" * (n // 2), "a@b." * (n // 4), "+1(" * (n // 3),
+        "Ab " * (n // 3), "A" + "b" * n + "1", "a@1.at dot+(" * (n // 12), "ab at " + "c" * n + " dot", "." * n + "@" + "-" * n,
+    ]
+    started = time.time()
+    for text in long:
+        pd.candidates(text, pd.base_spans(text))
+    assert time.time() - started < 60
+
+
+def test_long_runs_are_odd_rows_like_others(spark, documents, scratch):
+    rows = [(1, "1" * 200_000, "a"), (2, "a" * 200_000 + " x@b.cd", "a"), (3, "z" * 200_000 + " at dot", "a")]
+    found = {r["doc_id"]: r["spans"] for r in pd.with_personal_data(documents(rows), scratch).collect()}
+    assert not found[1] and not found[3]
+    assert [(s["kind"], s["start"], s["end"]) for s in found[2]] == [("email", 200_001, 200_007)]
