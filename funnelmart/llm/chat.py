@@ -21,6 +21,7 @@ from funnelmart.operators.dense_key import with_dense_key
 from funnelmart.operators.latest import first_per_group
 
 OPEN, CLOSE, END = "<turn ", ">", "</turn>\n"
+WIDE = "UTF-32"  # big-endian, four bytes a code point
 ESCAPES = (("</turn>", "\\e"), ("<turn ", "\\s"))
 ROLE_ESCAPES = (*ESCAPES, (">", "\\g"))
 LEARNED = "assistant"  # the role whose texts are under the loss mask
@@ -159,12 +160,21 @@ def read_back(formatted: Column) -> Column:
 
 
 def text_under_loss(formatted: Column, loss: Column) -> Column:
-    """The texts at the places of a loss mask, as they were before formatting, joined."""
+    """The texts at the places of a loss mask, as they were before formatting, joined.
 
-    def span(place: Column) -> Column:
-        return unescape(F.substring(formatted, (place["start"] + 1).cast("int"), (place["end"] - place["start"]).cast("int")))
+    Places count code points, and a text's code points can only be counted from its start. So the text is first
+    made wide, four bytes each; there every place is reached at once, and any number of turns costs one pass.
+    """
+
+    def texts(wide: Column) -> Column:
+        def span(place: Column) -> Column:
+            found = F.substring(wide, (4 * place["start"] + 1).cast("int"), (4 * (place["end"] - place["start"])).cast("int"))
+            return unescape(F.decode(found, WIDE))
+
+        return F.array_join(F.transform(loss, span), "")
 
-    return F.array_join(F.transform(loss, span), "")
+    # within a lambda the wide text is a value, not an expression that each turn would evaluate again
+    return F.get(F.transform(F.array(F.encode(formatted, WIDE)), texts), F.lit(0))
 
 
 def as_replies(turns: DataFrame, scratch: Scratch, key: str = "conv_id") -> DataFrame:

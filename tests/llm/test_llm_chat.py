@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -117,3 +118,24 @@ def test_query_reads_back_what_the_table_holds(spark):
         assert r["n_turns"] == len(rows)
         assert r["turns_sha256"] == sha("".join(f"{role}\n{t}\n" for _, role, t in rows))
         assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), sha(learned))
+
+
+def test_loss_texts_of_a_very_long_conversation(spark):
+    """One pass over the text, whatever the number of turns; places count code points, not bytes or surrogates."""
+    turns = 160_000
+    rows = spark.range(turns).select(F.col("id"), F.concat(F.lit("é𝒳 "), F.col("id"), F.lit("\\e x" + "y" * 80)).alias("body"))
+    one = rows.groupBy().agg(F.array_sort(F.collect_list(F.struct("id", "body"))).alias("all")).select(F.col("all.body").alias("bodies"))
+    head = "<turn assistant>"
+    # every body has as many code points, but for the digits of its number
+    width = [len("é𝒳 \\e x") + 80 + len(str(i)) for i in range(turns)]
+    places, at = [], 0
+    for w in width:
+        places.append((at + len(head), at + len(head) + w))
+        at += len(head) + w + len("</turn>\n")
+    loss = spark.createDataFrame([(places,)], "loss array<struct<start:bigint,end:bigint>>")
+    whole = one.select(F.array_join(F.transform("bodies", lambda b: F.concat(F.lit(head), b, F.lit("</turn>\n"))), "").alias("formatted"))
+    started = time.time()
+    found = whole.crossJoin(loss).select(F.sha2(text_under_loss(F.col("formatted"), F.col("loss")), 256)).first()[0]
+    assert time.time() - started < 60
+    text = "".join(f"é𝒳 {i}</turn> x" + "y" * 80 for i in range(turns))
+    assert found == hashlib.sha256(text.encode()).hexdigest()
