@@ -11,6 +11,9 @@ don't join. Vectors close to their centroid, the core, are therefore kept out of
 angle of the threshold plus that of the core from a centroid is compared exactly with the core around it, which
 misses no pair. Recall is audited against brute force; if it is too low, cells overlap more, and if that does not
 help, all vectors of a label are compared.
+
+A link that any search in any cell finds, in either direction, is a link of both ends: what is found is brought together as
+pairs before it is counted. A vector outside the core has few of them, for where it had many there would be a centroid.
 """
 
 from __future__ import annotations
@@ -37,8 +40,11 @@ BEAM = 32
 SLACK = 0.08  # nodes this far out of range are expanded too
 STEP = 8  # nodes a query expands at a time
 QUERIES = 512  # queries searched at a time
-AUDIT_EVERY = 50  # the audit takes its queries among ids divisible by this
-AUDIT_QUERIES = 256
+AUDIT_EVERY = 50  # the audit takes its queries among ids divisible by this first, then among others by a hash
+AUDIT_QUERIES = 256  # at first; four times as many until ENOUGH_LINKS true links of theirs were seen
+AUDIT_MOST = 4_096
+ENOUGH_LINKS = 200
+ASKING = 4_096  # vectors of a cell that search in one task
 LEAST_RECALL = 0.99
 DEMANDED_RECALL = 0.9  # below it there is no answer
 CORE = 0.8  # vectors with this cosine to their centroid are compared exactly
@@ -138,7 +144,7 @@ def search(queries: np.ndarray, own: np.ndarray, vectors: np.ndarray, lists: lis
         table[a, : len(row)] = row
     sims = np.full((len(queries), n + 1), -3.0)  # of known nodes; the last column stands for none
     todo = np.full((len(queries), n + 1), -3.0)  # of known nodes that are not expanded
-    starts = medoids_of(vectors, vectors @ vectors.T) if n <= 4 * CHUNK else np.arange(8)
+    starts = medoids_of(vectors, vectors @ vectors.T)
     sims[:, starts] = queries @ vectors[starts].T
     todo[:, starts] = sims[:, starts]
     inside = np.flatnonzero(own >= 0)
@@ -326,10 +332,11 @@ def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scr
     """Links per node (``node``, ``n``) counted with copies, and edges (a, b) that join what is linked."""
     placed = scratch.keep(cells_of(nodes, centroids, overlap, threshold, everything), "cells")
     exact = core_links(placed, threshold, scratch)
-    member = placed.drop("region", "visits").withColumn("cell", F.explode("cells"))
+    member = placed.drop("region", "visits").withColumn("cell", F.explode("cells")).drop("cells")
     sizes = scratch.keep(
-        member.groupBy("cell").agg(F.count("*").alias("n"))
-        .select("cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "sizes",
+        member.groupBy("cell").agg(F.count("*").alias("n")).select(
+            "cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"), F.ceil(F.col("n") / ASKING).cast("int").alias("blocks")
+        ), "sizes",
     )
     member = scratch.keep(
         member.join(broadcast_if(sizes, BROADCAST_ROWS), "cell")
@@ -349,58 +356,49 @@ def links(nodes: DataFrame, centroids: dict, overlap: int, threshold: float, scr
     )
 
     def find(pdf: pd.DataFrame) -> pd.DataFrame:
-        vectors = unit(np.array(pdf["vec"].tolist(), dtype=np.float64))
-        ids, times = pdf["node"].to_numpy(), pdf["times"].to_numpy()
-        cell = pdf["cell"].iloc[0]
-        inside = np.flatnonzero(pdf["chunk"].to_numpy() == pdf["target"].to_numpy())
-        place = {int(v): i for i, v in enumerate(ids[inside])}
-        lists = [
-            np.array([place[x] for x in near if x in place], dtype=np.int64) for near in pdf["near"].iloc[inside]
-        ]
-        own = np.full(len(ids), -1)
-        own[inside] = np.arange(len(inside))
-        sets = [set(x) for x in pdf["cells"]]
-        total, from_, to = np.zeros(len(ids), np.int64), [], []
-        if len(inside):
-            for at in range(0, len(ids), QUERIES):
-                block = slice(at, at + QUERIES)
-                hits = search(vectors[block], own[block], vectors[inside], lists, threshold)
-                a, b = np.nonzero(hits)
-                a, b = a + at, inside[b]
-                a, b = a[a != b], b[a != b]
-                # a pair that shares several cells counts in the first of them
-                shared = [len(sets[x]) == 1 or cell == min(sets[x] & sets[y]) for x, y in zip(a.tolist(), b.tolist())]
-                shared = np.array(shared, dtype=bool)
-                np.add.at(total, a[shared], times[b[shared]])
-                from_.append(a)
-                to.append(b)
-        roots = local_roots(len(ids), np.concatenate([*from_, []]).astype(int), np.concatenate([*to, []]).astype(int))
-        return pd.DataFrame({"node": ids, "n": total, "root": ids[roots]})
-
-    ready = (
-        member.withColumn("target", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .join(united, "node").select("cell", "target", "chunk", "node", "times", "vec", "cells", "near")
+        """Pairs in range of one block of a cell's vectors and one chunk of them, the smaller node first."""
+        asks, inside = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        found = [np.empty((0, 4), dtype=np.int64)]
+        if len(asks) and len(inside):
+            vectors = unit(np.array(inside["vec"].tolist(), dtype=np.float64))
+            ids, times = inside["node"].to_numpy(), inside["times"].to_numpy()
+            place = {int(v): i for i, v in enumerate(ids)}
+            lists = [np.array([place[x] for x in near if x in place], dtype=np.int64) for near in inside["near"]]
+            for at in range(0, len(asks), QUERIES):
+                block = asks.iloc[at: at + QUERIES]
+                own, own_times = block["node"].to_numpy(), block["times"].to_numpy()
+                places = np.array([place.get(x, -1) for x in own.tolist()])
+                a, b = np.nonzero(search(unit(np.array(block["vec"].tolist(), dtype=np.float64)), places, vectors, lists, threshold))
+                a, b = a[own[a] != ids[b]], b[own[a] != ids[b]]
+                swap = own[a] > ids[b]
+                ends = np.where(swap, ids[b], own[a]), np.where(swap, own[a], ids[b])
+                counts = np.where(swap, times[b], own_times[a]), np.where(swap, own_times[a], times[b])
+                found.append(np.stack([*ends, *counts], axis=1))
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b", "a_times", "b_times"])
+
+    keys = ["cell", "target", "block"]
+    asking = member.select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("target"),
+        F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int").alias("block"), F.lit(True).alias("asks"), "node", "times", "vec",
+        F.lit(None).cast("array<bigint>").alias("near"),
     )
-    found = scratch.keep(
-        ready.groupBy("cell", "target").applyInPandas(find, "node bigint, n bigint, root bigint"), "found"
+    asked = member.join(united, "node").select(
+        "cell", F.col("chunk").alias("target"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.lit(False).alias("asks"), "node", "times", "vec", "near",
     )
+    pairs = asking.unionAll(asked).groupBy(keys).applyInPandas(find, "a bigint, b bigint, a_times bigint, b_times bigint")
+    pairs = scratch.keep(pairs.distinct(), "pairs")
+    counted = pairs.select("a", F.col("b_times").alias("n")).unionAll(pairs.select("b", "a_times"))
+    counted = counted.select(F.col("a").alias("node"), "n")
+    edges = pairs.select("a", "b")
     if exact is not None:
-        found = found.unionAll(exact)
-    return (
-        found.groupBy("node").agg(F.sum("n").alias("n")),
-        found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")),
-    )
+        counted = counted.unionAll(exact.select("node", "n"))
+        edges = edges.unionAll(exact.where("node <> root").select("node", "root"))
+    return counted.groupBy("node").agg(F.sum("n").alias("n")), edges
 
 
-def audit(nodes: DataFrame, counted: DataFrame, queries: DataFrame, threshold: float) -> float:
-    """Share of the true links of ``queries`` (node) that were found, by brute force against all nodes.
-
-    The lower of the share of all their links and of the mean share of a query, so that neither many links of a few
-    queries nor many queries of few links hide what others lack.
-    """
-    asked = queries.join(nodes, "node").join(counted, "node").select("node", "label", "size", "vec", "n").collect()
-    if not asked:
-        return 1.0
+def true_links(nodes: DataFrame, asked: list, threshold: float) -> dict[int, int]:
+    """Links of each node in ``asked`` (AUDIT_MOST rows at most), by brute force against all nodes."""
     groups: dict[tuple[str, int], list] = {}
     for r in asked:
         groups.setdefault((r["label"], r["size"]), []).append((r["node"], r["vec"]))
@@ -418,21 +416,45 @@ def audit(nodes: DataFrame, counted: DataFrame, queries: DataFrame, threshold: f
                     hits &= part["node"].to_numpy()[:, None] != ids[None, :]
                     yield pd.DataFrame({"node": ids, "n": (hits * part["times"].to_numpy()[:, None]).sum(axis=0)})
 
-    truth = {
-        r["node"]: r["n"] for r in nodes.select("node", "times", "label", "size", "vec").mapInPandas(brute, "node bigint, n bigint")
-        .groupBy("node").agg(F.sum("n").alias("n")).collect()
-    }
-    total = sum(truth.values())
-    shares = [min(r["n"], truth[r["node"]]) / truth[r["node"]] for r in asked if truth.get(r["node"])]
-    if not total:
-        return 1.0
-    return min(sum(min(r["n"], truth.get(r["node"], 0)) for r in asked) / total, sum(shares) / len(shares))
+    counted = nodes.select("node", "times", "label", "size", "vec").mapInPandas(brute, "node bigint, n bigint")
+    return {r["node"]: r["n"] for r in counted.groupBy("node").agg(F.sum("n").alias("n")).collect()}
+
+
+def audited(nodes: DataFrame, ranked: DataFrame, threshold: float) -> dict[int, int]:
+    """True links of the nodes that the audit looks at: more of them until enough links were seen.
+
+    ``ranked`` has every ``node`` and ``later``, which is 1 for nodes that are asked after all others.
+    """
+    wanted = AUDIT_QUERIES
+    order = ranked.orderBy("later", F.xxhash64("node"), "node")
+    while True:
+        asked = order.limit(wanted).join(nodes, "node").select("node", "label", "size", "vec").collect()
+        truth = true_links(nodes, asked, threshold) if asked else {}
+        if sum(truth.values()) >= ENOUGH_LINKS or len(asked) < wanted or wanted >= AUDIT_MOST:
+            return truth
+        wanted = min(4 * wanted, AUDIT_MOST)
+
+
+def recall_of(counted: DataFrame, truth: dict[int, int]) -> float | None:
+    """Share of the true links that were found; None where there are none, so that nothing was measured.
+
+    The lower of the share of all links and of the mean share of a query, so that neither many links of a few
+    queries nor many queries of few links hide what others lack.
+    """
+    linked = {node: n for node, n in truth.items() if n}
+    if not linked:
+        return None
+    found = {r["node"]: r["n"] for r in counted.where(F.col("node").isin(list(linked))).collect()}
+    shares = [min(found.get(node, 0), n) / n for node, n in linked.items()]
+    return min(sum(min(found.get(node, 0), n) for node, n in linked.items()) / sum(linked.values()), sum(shares) / len(shares))
 
 
 def linked_vectors(vectors: DataFrame, scratch: Scratch, identity: str = "vec_id", vector: str = "embedding",
                    label: str = "label", threshold: float = COSINE) -> DataFrame:
     """Per row: ``vec_id``, ``n_links``, ``component_id``, ``kept`` and ``recall``, the audited share of links found.
 
+    ``recall`` is null where none of the audited vectors has a link, so that there was nothing to measure.
+
     Rows link when labels are equal and not null and the cosine reaches ``threshold``. Vectors that are null, empty or
     zero, or hold null, NaN or infinite components, link with nothing, as do those of different dimensions.
     Repeated rows are vectors of their own that link with each other. ``component_id`` is the smallest id
@@ -449,30 +471,31 @@ def linked_vectors(vectors: DataFrame, scratch: Scratch, identity: str = "vec_id
     nodes = nodes.select("node", "times", "label", "vec", "size")
     centroids = fit_centroids(nodes)
     of_rows = scratch.keep(of_rows, "of_rows")
-    asked = rows.where(F.col("vec_id") % AUDIT_EVERY == 0).join(of_rows, "row").select("node").distinct()
-    asked = asked.orderBy(F.xxhash64("node"), "node").limit(AUDIT_QUERIES)
+    later = F.when(F.col("vec_id") % AUDIT_EVERY == 0, 0).otherwise(1)
+    ranked = scratch.keep(rows.select("row", later.alias("later")).join(of_rows, "row").groupBy("node").agg(F.min("later").alias("later")), "ranked")
+    truth = audited(nodes, ranked, threshold)
     overlap, known, everything = OVERLAP, -1.0, False
     while True:
         counted, edges = links(nodes, centroids, overlap, threshold, scratch, everything)
-        recall = audit(nodes, counted, asked, threshold)
-        if recall >= LEAST_RECALL or everything:
+        recall = recall_of(counted, truth)
+        if recall is None or recall >= LEAST_RECALL or everything:
             break
         everything = overlap >= 4 * OVERLAP or recall <= known
         known, overlap = recall, 2 * overlap
-    if recall < DEMANDED_RECALL:
+    if recall is not None and recall < DEMANDED_RECALL:
         raise RuntimeError(f"only {recall:.3f} of the audited links were found")
 
     reached = components(edges, scratch)
-    per_node = counted.join(reached, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"))
+    per_node = counted.join(reached, "node", "left").select("node", "n", "component")
     placed = rows.select("row", "vec_id").join(of_rows, "row", "left").join(per_node, "node", "left").select(
         "row", "vec_id", (F.coalesce("n", F.lit(0)) + F.coalesce(F.col("times") - 1, F.lit(0))).alias("n_links"),
-        F.coalesce("component", "row").alias("component"),
+        F.coalesce("component", "node", "row").alias("component"),
     )
     placed = scratch.keep(placed, "placed")
     least = placed.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     return placed.join(least, "component").select(
         "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        F.lit(recall).alias("recall"),
+        F.lit(recall).cast("double").alias("recall"),
     )
 
 

@@ -125,3 +125,73 @@ def test_a_low_recall_ends_in_comparing_all(spark, scratch, monkeypatch):
     found = run(spark, scratch, rows).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
     assert {r["recall"] for r in found} == {1.0}
+
+
+def near_threshold(n, dims=32, seed=11):
+    """Vectors of one label in loose groups whose cosines lie on both sides of the threshold."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 50, dims))
+    return [(i, (centres[i % len(centres)] + 0.19 * rng.normal(size=dims)).astype(np.float32).tolist(), 1) for i in range(n)]
+
+
+def products(rows):
+    """n_links by one product of all vectors; the smallest reachable id by repeated minima."""
+    x = vd.unit(np.array([r[1] for r in rows], dtype=np.float32).astype(np.float64))
+    ids = np.array([r[0] for r in rows])
+    near = x @ x.T >= vd.COSINE
+    root = ids.copy()
+    while True:
+        lower = np.where(near, root[None, :], ids.max()).min(axis=1)
+        lower = np.minimum(lower, root)
+        if (lower == root).all():
+            break
+        root = lower
+    return sorted(zip(ids.tolist(), (near.sum(axis=1) - 1).tolist(), root.tolist()))
+
+
+def test_recall_is_measured_whatever_the_ids(spark, scratch, monkeypatch):
+    """No id is divisible by 50, cells are too small and there is no core: the loss is seen and made good."""
+    monkeypatch.setattr(vd, "CELL", 40)
+    monkeypatch.setattr(vd, "OVERLAP", 1)
+    monkeypatch.setattr(vd, "CORE", 1.1)
+    rows = [(50 * i + 1, vec, label) for i, vec, label in near_threshold(1_500)]
+    found = run(spark, scratch, rows).collect()
+    truth = products(rows)
+    assert sum(n for _, n, _ in truth) > 2_000
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found)
+    recall = {r["recall"] for r in found}.pop()
+    lost = sum(n for _, n, _ in truth) - sum(n for _, n, _ in got)
+    assert recall is not None and lost <= 0.02 * sum(n for _, n, _ in truth)
+    assert sum(n for _, n, _ in got) % 2 == 0
+
+
+def test_counts_agree_with_the_links_that_join(spark, scratch, monkeypatch):
+    """Whatever searches find, a link counts for both ends, so components hold no link that counts do not."""
+    monkeypatch.setattr(vd, "CELL", 30)
+    monkeypatch.setattr(vd, "CHUNK", 16)
+    monkeypatch.setattr(vd, "ASKING", 20)
+    monkeypatch.setattr(vd, "CORE", 1.1)
+    monkeypatch.setattr(vd, "LEAST_RECALL", 0.0)
+    monkeypatch.setattr(vd, "DEMANDED_RECALL", 0.0)
+    rows = near_threshold(400)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in run(spark, scratch, rows).collect()}
+    truth = {i: n for i, n, _ in products(rows)}
+    assert sum(n for n, _ in found.values()) % 2 == 0
+    assert all(n <= truth[i] for i, (n, _) in found.items())
+    size = {}
+    for _, component in found.values():
+        size[component] = size.get(component, 0) + 1
+    assert all((n == 0) == (size[c] == 1) for n, c in found.values())
+
+
+def test_recall_is_unknown_where_nothing_is_linked(spark, scratch):
+    rows = [(i, [float(j == i) for j in range(12)], 1) for i in range(12)]
+    found = run(spark, scratch, rows).collect()
+    assert {(r["n_links"], r["kept"], r["recall"]) for r in found} == {(0, True, None)}
+
+
+def test_registered_query_agrees_with_all_pairs(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    found = vd.op5_pruned_graph_dedup(spark, folder).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == sorted(brute(rows))
