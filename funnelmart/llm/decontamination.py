@@ -8,8 +8,9 @@ longest stretch that tolerates substitutions is measured.
 Characters of scripts that are written without spaces are words of their own here, and spaces and punctuation of any
 script end a word.
 
-Items are taken in blocks of bounded size. A block's hashes are sent to every task and documents stream
-past them, so documents are never shuffled; more items mean more blocks, not larger ones.
+A benchmark of BLOCK_BYTES of text at most is sent to every task and documents stream past it, so they are never shuffled. A
+larger one stays a table: its hashes are joined with those of the documents, of which a bitmap of bounded size lets
+through only what the benchmark may hold, and only pairs that hit meet with their texts.
 """
 
 from __future__ import annotations
@@ -23,12 +24,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelmart.llm.store import bounded_batches, col, free_name, text_of
+from funnelmart.llm.store import Scratch, bounded_batches, col, free_name, text_of
 from funnelmart.llm.words import U64, combined, hash_words
 
 MASKS = ("1111011", "110110101", "1010011011", "1100100010111")  # weight 6; no two agree in more than half
-BLOCK_BYTES = 16 << 20  # text of the items sent to the tasks at a time
+LONGEST_MASK = max(map(len, MASKS))
+SUBSTITUTED = 8  # items of so many words may differ in one; of two halves of them, one is then as it was
+WINDOWS = tuple(range(1, 8))  # lengths of whole items below that, and of halves of items up to the longest mask
+SPANS = (*[tuple(i for i, bit in enumerate(mask) if bit == "1") for mask in MASKS], *[tuple(range(n)) for n in WINDOWS])
+BLOCK_BYTES = 16 << 20  # text of a benchmark that is sent to the tasks
 FILTER_BITS = 20
+SHARED_BITS = 26  # of the bitmap of a larger benchmark's hashes: 8 MB
+BITMAP_BITS = 1 << 15  # that Spark's bitmap functions keep in one row
+HOT_SHARE = 1 / 200  # hashes with more than this share of the documents' hits are joined by broadcast
+HOT_ROWS = 1_000_000  # of the benchmark's hashes that are broadcast for that at most
 # Thai to Myanmar, Khmer, kana, Han and its extensions
 UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf" \
     "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
@@ -43,7 +52,8 @@ class Rule:
     """What counts as an overlap: a stretch with ``matched`` equal words at least, or nearly the whole item.
 
     Within the stretch at least ``share`` of the words agree. Items of fewer than ``shortest`` words can't
-    be told from chance and match nothing; items shorter than a mask match only as a whole and exactly.
+    be told from chance and match nothing; items shorter than the longest mask match only as a whole, with one
+    word substituted at most, and those of fewer than SUBSTITUTED words exactly.
     """
 
     matched: int = 12
@@ -56,6 +66,22 @@ def words_of(texts: list[str | None]) -> Iterator[np.ndarray]:
     return hash_words([t if not t or t.isascii() else SPECIAL.sub(lambda m: f" {m[1] or ''} ", t) for t in texts])
 
 
+def item_seeds(words: np.ndarray, rule: Rule) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(span, hashes, places) under which an item is found."""
+    n = len(words)
+    if n < rule.shortest:
+        return
+    for span in range(len(MASKS)):
+        if n > max(SPANS[span]):
+            found = combined(words, SPANS[span])
+            yield span, found, np.arange(len(found))
+    if n < LONGEST_MASK:
+        half = n // 2
+        for start, length in ((0, n),) if n < SUBSTITUTED else ((0, half), (half, n - half)):
+            if length in WINDOWS:
+                yield len(MASKS) + WINDOWS.index(length), combined(words[start: start + length], range(length)), np.array([start])
+
+
 class Index:
     """Spaced hashes of some benchmark items, ready for lookup."""
 
@@ -64,25 +90,16 @@ class Index:
         self.ids = [i for i, _ in items]
         self.words = list(words_of([t for _, t in items]))
         self.seeds: list[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        spans = {tuple(i for i, bit in enumerate(mask) if bit == "1"): None for mask in MASKS}
-        short = {len(w) for w in self.words if rule.shortest <= len(w) < max(map(len, MASKS))}
-        for n in sorted(short):
-            spans.setdefault(tuple(range(n)), n)
-        for offsets, only in spans.items():
-            keys, owner, place = [], [], []
-            for i, words in enumerate(self.words):
-                if len(words) >= rule.shortest and (len(words) == only if only else len(words) > max(offsets)):
-                    found = combined(words, offsets)
-                    keys.append(found)
-                    owner.append(np.full(len(found), i))
-                    place.append(np.arange(len(found)))
-            if not keys:
-                continue
-            keys, owner, place = map(np.concatenate, (keys, owner, place))
+        found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for i, words in enumerate(self.words):
+            for span, keys, place in item_seeds(words, rule):
+                found.setdefault(span, []).append((keys, np.full(len(keys), i), place))
+        for span, parts in sorted(found.items()):
+            keys, owner, place = map(np.concatenate, zip(*parts))
             order = np.argsort(keys, kind="stable")
             present = np.zeros(1 << FILTER_BITS, dtype=bool)
             present[(keys >> U64(64 - FILTER_BITS)).astype(np.int64)] = True
-            self.seeds.append((list(offsets), keys[order], owner[order], place[order], present))
+            self.seeds.append((list(SPANS[span]), keys[order], owner[order], place[order], present))
 
     def overlaps(self, words: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(item, first word, words, equal words) of the best stretch of each item that overlaps."""
@@ -98,46 +115,37 @@ class Index:
             high = np.searchsorted(keys, hashes[at], "right")
             for p, a, b in zip(at[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist()):
                 lines.update(zip(owner[a:b].tolist(), (p - place[a:b]).tolist()))
-        best: dict[int, tuple[int, int, int]] = {}
+        shifts: dict[int, list[int]] = {}
         for item, shift in lines:
-            found = self.stretch(self.words[item], words, shift)
-            if found and (item not in best or (found[2], -found[0]) > (best[item][2], -best[item][0])):
-                best[item] = found
-        return sorted((self.ids[i], *x) for i, x in best.items())
-
-    def stretch(self, item: np.ndarray, words: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-        """Best stretch with ``item`` laid at ``shift``: an equal word counts 1, a substituted one -2."""
-        a, b = max(0, -shift), min(len(item), len(words) - shift)
-        equal = item[a:b] == words[a + shift: b + shift]
-        running = np.concatenate(([0], np.cumsum(np.where(equal, 1, -2))))
-        floor = np.minimum.accumulate(running)
-        end = int(np.argmax(running - floor))
-        start = int(np.argmin(running[: end + 1]))
-        length, matched = end - start, int(equal[start:end].sum())
-        # the whole item, if enough of it agrees
-        if matched < self.rule.matched and equal.sum() >= self.rule.share * len(item):
-            start, length, matched = 0, len(equal), int(equal.sum())
-        enough = matched >= min(self.rule.matched, np.ceil(self.rule.share * len(item)))
-        if not enough or matched < self.rule.share * length:
-            return None
-        if len(item) < max(map(len, MASKS)) and matched < min(len(item), self.rule.matched):
-            return None
-        return a + shift + start, length, matched
-
-
-def blocks_of(benchmark: DataFrame, text: str, identity: str, limit: int) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of at most ``limit`` bytes of text, or of one longer item."""
-    items = benchmark.select(col(identity).cast("bigint").alias("id"), text_of(text).alias("text"))
-    items = items.where("id is not null and text <> ''").distinct()
-    block: list[tuple[int, str]] = []
-    size = 0
-    for row in items.orderBy("id", "text").toLocalIterator():
-        if block and size + len(row["text"].encode()) > limit:
-            yield block
-            block, size = [], 0
-        block.append((row["id"], row["text"]))
-        size += len(row["text"].encode())
-    yield block
+            shifts.setdefault(item, []).append(shift)
+        best = {item: best_stretch(self.words[item], words, own, self.rule) for item, own in shifts.items()}
+        return sorted((self.ids[i], *x) for i, x in best.items() if x)
+
+
+def best_stretch(item: np.ndarray, words: np.ndarray, shifts: list[int], rule: Rule) -> tuple[int, int, int] | None:
+    """(first word, words, equal words) of the stretch with the most equal words, the first of several."""
+    found = [x for x in (stretch(item, words, shift, rule) for shift in shifts) if x]
+    return min(found, key=lambda x: (-x[2], x[0], x[1]), default=None)
+
+
+def stretch(item: np.ndarray, words: np.ndarray, shift: int, rule: Rule) -> tuple[int, int, int] | None:
+    """Best stretch with ``item`` laid at ``shift``: an equal word counts 1, a substituted one -2."""
+    a, b = max(0, -shift), min(len(item), len(words) - shift)
+    equal = item[a:b] == words[a + shift: b + shift]
+    running = np.concatenate(([0], np.cumsum(np.where(equal, 1, -2))))
+    floor = np.minimum.accumulate(running)
+    end = int(np.argmax(running - floor))
+    start = int(np.argmin(running[: end + 1]))
+    length, matched = end - start, int(equal[start:end].sum())
+    # the whole item, if enough of it agrees
+    if matched < rule.matched and equal.sum() >= rule.share * len(item):
+        start, length, matched = 0, len(equal), int(equal.sum())
+    enough = matched >= min(rule.matched, np.ceil(rule.share * len(item)))
+    if not enough or matched < rule.share * length:
+        return None
+    if len(item) < LONGEST_MASK and matched < len(item) - (len(item) >= SUBSTITUTED):
+        return None
+    return a + shift + start, length, matched
 
 
 def overlap_column(spark: SparkSession, items: list[tuple[int, str]], text: Column, rule: Rule) -> Column:
@@ -167,15 +175,89 @@ def with_overlaps(documents: DataFrame, benchmark: DataFrame, name: str = "overl
     """
     spark = documents.sparkSession
     bounded_batches(spark)
-    found = [
-        overlap_column(spark, block, text_of(text), rule)
-        for block in blocks_of(benchmark, item_text, item, block_bytes)
-    ]
     kept = [c for c in documents.columns if c.lower() != name.lower()]
-    parts = [free_name(documents, f"_overlap_{i}") for i in range(len(found))]
-    out = documents.select(*map(col, kept), *[f.alias(p) for f, p in zip(found, parts)])
-    whole = F.concat(*map(F.col, parts)) if len(parts) > 1 else F.col(parts[0])
-    return out.select(*map(col, kept), whole.alias(name))
+    items = benchmark.select(col(item).cast("bigint").alias("id"), text_of(item_text).alias("text"))
+    items = items.where("id is not null and text <> ''").distinct()
+    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
+        return joined_overlaps(documents, items, name, text, kept, rule)
+    block = sorted((r["id"], r["text"]) for r in items.collect())
+    return documents.select(*map(col, kept), overlap_column(spark, block, text_of(text), rule).alias(name))
+
+
+def bitmap_of(seeds: DataFrame) -> np.ndarray:
+    """Which leading bits of hashes occur; put together by Spark, SHARED_BITS bits in all."""
+    lead = seeds.select(F.shiftrightunsigned("seed", 64 - SHARED_BITS).alias("lead"))
+    parts = lead.groupBy((F.floor(F.col("lead") / BITMAP_BITS)).alias("part")).agg(
+        F.bitmap_construct_agg(F.pmod("lead", F.lit(BITMAP_BITS))).alias("bits")
+    ).collect()
+    present = np.zeros((1 << SHARED_BITS) // 8, dtype=np.uint8)
+    for row in parts:
+        at = row["part"] * BITMAP_BITS // 8
+        present[at: at + len(row["bits"])] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return present
+
+
+def joined_overlaps(documents: DataFrame, items: DataFrame, name: str, text: str, kept: list[str], rule: Rule) -> DataFrame:
+    """``with_overlaps`` for a benchmark of any size: hashes of both sides meet in joins, then the texts of what hit.
+
+    Hashes that hold a large share of the documents' hits meet the benchmark's rows of just those in a broadcast.
+    """
+    spark = documents.sparkSession
+    scratch = Scratch(spark)
+    row = free_name(documents, "_row")
+    items = scratch.keep(items.select(F.monotonically_increasing_id().alias("item"), "id", "text"), "items")
+    docs = scratch.keep(documents.select(*map(col, documents.columns), F.monotonically_increasing_id().alias(row)), "documents")
+
+    def seeds_of_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for own, words in zip(pdf["item"], words_of(pdf["text"].tolist())):
+                for span, keys, place in item_seeds(words, rule):
+                    yield pd.DataFrame({"span": span, "seed": keys.view(np.int64), "item": own, "item_place": place})
+
+    seeds = scratch.keep(items.mapInPandas(seeds_of_items, "span int, seed bigint, item bigint, item_place int"), "item_seeds")
+    used = sorted(r["span"] for r in seeds.select("span").distinct().collect())
+    sent = spark.sparkContext.broadcast(bitmap_of(seeds))
+
+    def seeds_of_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        present = sent.value
+        for pdf in batches:
+            for own, words in zip(pdf[row], words_of(pdf["text"].tolist())):
+                for span in used:
+                    if len(words) > max(SPANS[span]):
+                        keys = combined(words, SPANS[span])
+                        lead = keys >> U64(64 - SHARED_BITS)
+                        at = np.flatnonzero(present[(lead >> U64(3)).astype(np.int64)] >> (lead & U64(7)).astype(np.uint8) & 1)
+                        if len(at):
+                            yield pd.DataFrame({"span": span, "seed": keys[at].view(np.int64), row: own, "place": at})
+
+    texts = docs.select(row, text_of(text).alias("text"))
+    hits = scratch.keep(texts.mapInPandas(seeds_of_documents, f"span int, seed bigint, `{row}` bigint, place int"), "hits")
+    hot = hits.stat.freqItems(["seed"], HOT_SHARE).first()["seed_freqItems"] or []
+    hot_seeds = seeds.where(F.col("seed").isin(hot))
+    if not hot or hot_seeds.count() > HOT_ROWS:
+        met = hits.join(seeds, ["span", "seed"])
+    else:
+        met = hits.where(~F.col("seed").isin(hot)).join(seeds, ["span", "seed"]).unionByName(
+            hits.where(F.col("seed").isin(hot)).join(F.broadcast(hot_seeds), ["span", "seed"])
+        )
+    shifts = met.groupBy(row, "item").agg(F.collect_set(F.col("place") - F.col("item_place")).alias("shifts"))
+    found = scratch.keep(shifts.join(items, "item"), "candidates")
+
+    def verify(hit: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(hit) or not len(own):
+            return pd.DataFrame({row: [], name: []})
+        words = next(iter(words_of(own["text"].tolist())))
+        best = [
+            (item, *one) for item, places, item_words in zip(hit["id"], hit["shifts"], words_of(hit["text"].tolist()))
+            if (one := best_stretch(item_words, words, list(places), rule))
+        ]
+        names = ("item_id", "start", "words", "matched")
+        return pd.DataFrame({row: [own[row].iloc[0]], name: [[dict(zip(names, x)) for x in sorted(best)]]})
+
+    asked = texts.join(found.select(row).distinct(), row, "left_semi")
+    overlaps = found.groupBy(row).cogroup(asked.groupBy(row)).applyInPandas(verify, f"`{row}` bigint, `{name}` {RESULT}")
+    none = F.array().cast(RESULT)
+    return docs.select(*map(col, kept), row).join(overlaps, row, "left").select(*map(col, kept), F.coalesce(col(name), none).alias(name))
 
 
 def without_overlaps(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -115,3 +115,78 @@ def test_items_without_ascii_spaces_are_found():
         found = index.overlaps(next(iter(words_of([text]))))
         assert [(x[0], x[3]) for x in found] == [(item, matched)]
     assert not index.overlaps(next(iter(words_of([chinese[::-1]]))))
+
+
+def hits(rows):
+    return {(r["doc_id"], x["item_id"], x["start"], x["words"], x["matched"]) for r in rows for x in r["overlaps"]}
+
+
+def test_a_large_benchmark_is_joined_not_sent(spark, documents, planted, odd, capsys):
+    """Beyond a block, no text of the benchmark is broadcast or collected, and the answer is the same row for row."""
+    items, rows, _ = planted
+    short = [(100, "alpha beta gamma delta epsilon"), (101, "one two three four five six seven eight nine ten")]
+    benchmark = spark.createDataFrame([(i, " ".join(w), 0) for i, w in items] + [(i, t, 0) for i, t in short], ITEMS)
+    more = [(900, "x one two three four five six 7 eight nine ten y", "s"), (901, "alpha beta gamma delta epsilon", "s"),
+            (902, " ".join(items[0][1]) + " . " + " ".join(items[0][1]), "s"), (903, "same " * 500, "s")]
+    docs = documents(rows + more).union(odd)
+    sent, joined = with_overlaps(docs, benchmark), with_overlaps(docs, benchmark, block_bytes=100)
+    assert joined.columns == sent.columns
+    assert hits(joined.collect()) == hits(sent.collect())
+    assert joined.count() == docs.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with_overlaps(docs, benchmark, block_bytes=100).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    assert "BroadcastExchange" not in capsys.readouterr().out
+
+
+def test_common_words_join_without_a_block(spark, documents):
+    """One passage in a third of all documents and in many items; one word repeated throughout a document and an item."""
+    rng = random.Random(3)
+    common = words(rng, 14, "c")
+    items = [(i, " ".join(words(rng, 5, "q") + common + words(rng, 5, "q")), 0) for i in range(12)] + [(50, "again " * 40, 0)]
+    benchmark = spark.createDataFrame(items, ITEMS)
+    docs = documents([(i, " ".join(words(rng, 20) + (common if i % 3 == 0 else [])), "s") for i in range(60)] + [(99, "again " * 300, "s")])
+    found = hits(with_overlaps(docs, benchmark, block_bytes=10).collect())
+    assert {(d, i) for d, i, *_ in found} == {(d, i) for d in range(0, 60, 3) for i in range(12)} | {(99, 50)}
+    assert found == hits(with_overlaps(docs, benchmark).collect())
+
+
+def test_short_items_tolerate_one_substitution_from_eight_words_on():
+    rng = random.Random(7)
+    for n in range(5, 13):
+        item = words(rng, n, "s")
+        index = Index([(1, " ".join(item))], Rule())
+        for at in range(n):
+            text = words(rng, 20) + [*item[:at], "other", *item[at + 1:]] + words(rng, 20)
+            found = index.overlaps(next(hash_words([" ".join(text)])))
+            assert bool(found) == (n >= 8), (n, at)
+            two = [*item[:at], "other", *item[at + 1:]]
+            two[(at + n // 2) % n] = "another"
+            assert not index.overlaps(next(hash_words([" ".join(words(rng, 20) + two)])))
+        assert index.overlaps(next(hash_words([" ".join(["x", *item, "y"])]))) == [(1, 1, n, n)]
+
+
+def test_registered_query_agrees_with_laying_items_everywhere(spark):
+    from funnelmart.llm.decontamination import op3_spaced_seed_decontamination, stretch
+
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
+    found = {(r["doc_id"], r["item_id"]) for r in op3_spaced_seed_decontamination(spark, folder).collect()}
+    item_words = list(words_of([t for _, t in items]))
+    truth = set()
+    for (doc, _), text in zip(docs, words_of([t for _, t in docs])):
+        for (item, _), own in zip(items, item_words):
+            if not len(text) or not len(own):
+                continue
+            # shifts at which any word agrees; no other can hold an overlap
+            place = {}
+            for i, w in enumerate(own.tolist()):
+                place.setdefault(w, []).append(i)
+            shifts = {p - i for p, w in enumerate(text.tolist()) for i in place.get(w, ())}
+            if any(stretch(own, text, s, Rule()) for s in shifts):
+                truth.add((doc, item))
+    # four masks of weight 6 may miss a stretch that was changed in many places, never report another one
+    assert found <= truth and len(found) >= 0.98 * len(truth) and truth
