@@ -165,13 +165,13 @@ def overlap_column(spark: SparkSession, items: list[tuple[int, str]], text: Colu
 
 def with_overlaps(documents: DataFrame, benchmark: DataFrame, name: str = "overlaps", text: str = "text",
                   item: str = "item_id", item_text: str = "text", rule: Rule = Rule(),
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, scratch: Scratch | None = None) -> DataFrame:
     """``documents`` with the benchmark items each of them overlaps, at word positions, as column ``name``.
 
     Every document is searched in full and no hit is left out. Null and empty texts overlap nothing, as
     do null items; repeated items and repeated documents give the same answer each. An item that is found
     at several places is reported once, at its best stretch. An empty benchmark gives empty arrays.
-    A column of ``documents`` with that name is replaced.
+    A column of ``documents`` with that name is replaced. ``scratch`` keeps what a benchmark beyond ``block_bytes`` needs.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
@@ -179,7 +179,7 @@ def with_overlaps(documents: DataFrame, benchmark: DataFrame, name: str = "overl
     items = benchmark.select(col(item).cast("bigint").alias("id"), text_of(item_text).alias("text"))
     items = items.where("id is not null and text <> ''").distinct()
     if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
-        return joined_overlaps(documents, items, name, text, kept, rule)
+        return joined_overlaps(documents, items, name, text, kept, rule, scratch or Scratch(spark))
     block = sorted((r["id"], r["text"]) for r in items.collect())
     return documents.select(*map(col, kept), overlap_column(spark, block, text_of(text), rule).alias(name))
 
@@ -197,13 +197,13 @@ def bitmap_of(seeds: DataFrame) -> np.ndarray:
     return present
 
 
-def joined_overlaps(documents: DataFrame, items: DataFrame, name: str, text: str, kept: list[str], rule: Rule) -> DataFrame:
+def joined_overlaps(documents: DataFrame, items: DataFrame, name: str, text: str, kept: list[str], rule: Rule,
+                    scratch: Scratch) -> DataFrame:
     """``with_overlaps`` for a benchmark of any size: hashes of both sides meet in joins, then the texts of what hit.
 
     Hashes that hold a large share of the documents' hits meet the benchmark's rows of just those in a broadcast.
     """
     spark = documents.sparkSession
-    scratch = Scratch(spark)
     row = free_name(documents, "_row")
     items = scratch.keep(items.select(F.monotonically_increasing_id().alias("item"), "id", "text"), "items")
     docs = scratch.keep(documents.select(*map(col, documents.columns), F.monotonically_increasing_id().alias(row)), "documents")

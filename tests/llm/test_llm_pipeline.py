@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import subprocess
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import __spark_entry__ as entry
@@ -10,13 +11,14 @@ from funnelmart.llm import near_dedup, quality
 from funnelmart.llm.decontamination import Index, Rule
 from funnelmart.llm.queries import QUERIES
 from funnelmart.llm.words import hash_words
+from funnelmart.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert [x for x in names if x.startswith(f"op{n}_")], n
     assert names["pipeline"] is corpus_pipeline.run
     assert set(QUERIES) <= set(names)
@@ -74,3 +76,28 @@ def test_entry_works_without_the_subpackage(tmp_path):
     code = "import entry_copy as e; print(len(e.queries()), any(x.startswith('op') for x in e.queries()))"
     done = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=100)
     assert done.stdout.split()[1:] == ["False"], done.stderr
+
+
+def as_rows(frame):
+    return sorted(map(tuple, frame.select("doc_id", "shard", "slot").collect()))
+
+
+def test_runs_at_once_and_one_after_another_keep_their_tables(spark):
+    first = corpus_pipeline.run(spark, FOLDER)
+    with ThreadPoolExecutor(2) as threads:
+        both = list(threads.map(lambda _: as_rows(corpus_pipeline.run(spark, FOLDER)), range(2)))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    corpus_pipeline.quality(spark, docs, FOLDER)  # a stage on its own starts a run of its own
+    assert as_rows(first) == both[0] == both[1]
+
+
+def test_a_closed_run_leaves_nothing(spark):
+    def folders():
+        return set(Path(shared_folder(spark), "llm").glob("*"))
+
+    before = folders()
+    run = corpus_pipeline.Run(spark)
+    assert run.documents(FOLDER).count() > 0
+    assert 0 < len([x for x in folders() - before if any(x.iterdir())])
+    run.close()
+    assert not [x for x in folders() - before if any(x.iterdir())]
