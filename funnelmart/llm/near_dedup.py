@@ -5,6 +5,9 @@ document frequency. Improved consistent weighted sampling draws from each set sa
 two sets with a probability equal to their weighted Jaccard similarity. Samples are banded; documents
 that agree in a band are compared exactly, and pairs at or above the threshold are links. Linked
 documents form classes.
+
+Document frequencies count every document as one, or every large group of near copies as one: then what a group's
+members share isn't taken for common phrases, and their similarity does not depend on how many they are.
 """
 
 from __future__ import annotations
@@ -37,6 +40,11 @@ BROADCAST_ROWS = 500_000
 TABLE_BITS = 16
 COLUMNS = 1 << 11  # shingles sampled at a time
 
+GROUP_BANDS, GROUP_HASHES = 4, 3  # smallest hashes by which large groups of near copies are told
+LARGE_SHARE = 1 / 1000  # groups below this share of all documents cannot lift a shingle above LEAST_SHARE
+UNIT = 1 << 20  # a whole document in the counts, which are whole numbers so that their sum has no order
+HOT_SHARE = 1 / 200  # classes with more than this share of the documents are looked up in a broadcast
+
 STEP = 0x9E3779B97F4A7C15
 
 
@@ -85,7 +93,7 @@ def sample(keys: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
 class Weights:
     """Inverse document frequencies by class of shingle."""
 
-    def __init__(self, counts: np.ndarray, documents: int, shingled: int):
+    def __init__(self, counts: np.ndarray, documents: float, shingled: float):
         load = shingled / len(counts)  # what a class holds on average of shingles that don't matter
         share = (counts - load) / max(documents, 1)
         self.idf = (1 - np.log(np.clip(share, LEAST_SHARE, 1.0))).astype(np.float64)
@@ -96,6 +104,13 @@ class Weights:
         return keys, times * self.idf[class_of(keys)]
 
 
+def share_of(keys: np.ndarray, sizes: dict[int, int]) -> int:
+    """What a document counts, in UNIT parts; all of it where there are no groups."""
+    if not sizes:
+        return UNIT
+    return max(1, UNIT // max([sizes.get(key, 1) for key in group_keys(keys).tolist()]))
+
+
 def class_of(keys: np.ndarray) -> np.ndarray:
     return (keys >> U64(64 - CLASS_BITS)).astype(np.int64)
 
@@ -108,16 +123,47 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(shared / (total - shared)) if total else 0.0
 
 
-def count_shingles(documents: DataFrame, text: str) -> Weights:
-    """Document frequencies over all documents; one pass, partial counts of a fixed size per task."""
+def group_keys(keys: np.ndarray) -> np.ndarray:
+    """One hash per band, of the smallest hashes of a set; near copies agree in most bands, other documents in none."""
+    rows = mixed(np.arange(1, GROUP_BANDS * GROUP_HASHES + 1, dtype=U64) * U64(STEP + 2))
+    least = np.full(len(rows), np.iinfo(np.uint64).max, dtype=U64)
+    for at in range(0, len(keys), COLUMNS):
+        least = np.minimum(least, mixed(keys[None, at: at + COLUMNS] ^ rows[:, None]).min(axis=1))
+    return mixed((least.reshape(GROUP_BANDS, GROUP_HASHES) * rows.reshape(GROUP_BANDS, GROUP_HASHES)).sum(axis=1)).view(np.int64)
+
+
+def large_groups(documents: DataFrame, text: str, scratch: Scratch) -> dict[int, int]:
+    """Sizes of the bands' groups with LARGE_SHARE of all documents or more, so some thousands of them at most."""
+
+    def bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [group_keys(np.unique(shingles(w, WORDS))) for w in hash_words(pdf["text"].tolist()) if len(w)]
+            if found:
+                yield pd.DataFrame({"key": np.concatenate(found)})
+
+    keys = documents.select(text_of(text).alias("text")).mapInPandas(bands, "key bigint")
+    counted = scratch.keep(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "groups")
+    least = max(2, documents.count() * LARGE_SHARE)
+    return {r["key"]: r["n"] for r in counted.where(F.col("n") >= least).collect()}
+
+
+def count_shingles(documents: DataFrame, text: str, groups: dict[int, int] | None = None) -> Weights:
+    """Document frequencies over all documents; one pass, partial counts of a fixed size per task.
+
+    A document in one of ``groups`` counts as its share of the largest of its groups.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(groups or {})
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = np.zeros(1 << CLASS_BITS, dtype=np.int64), 0
+        sizes = sent.value
         for pdf in batches:
-            found = [class_of(np.unique(shingles(w, WORDS))) for w in hash_words(pdf["text"].tolist()) if len(w)]
-            seen += len(found)
-            if found:
-                counts += np.bincount(np.concatenate(found), minlength=len(counts))
+            found = [np.unique(shingles(w, WORDS)) for w in hash_words(pdf["text"].tolist()) if len(w)]
+            weights = [share_of(keys, sizes) for keys in found]
+            seen += sum(weights)
+            for weight in set(weights):
+                same = [class_of(keys) for keys, own in zip(found, weights) if own == weight]
+                counts += weight * np.bincount(np.concatenate(same), minlength=len(counts))
         for at in range(0, len(counts), SLICE):
             part = counts[at: at + SLICE]
             if part.any():
@@ -140,7 +186,7 @@ def count_shingles(documents: DataFrame, text: str) -> Weights:
         if row["slice"] >= 0:
             counts[row["slice"] * SLICE: (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.int64)
         seen += row["seen"]
-    return Weights(counts, seen, int(counts.sum()))
+    return Weights(counts / UNIT, seen / UNIT, counts.sum() / UNIT)
 
 
 def signatures(stored: DataFrame, row: str, text: str, weights: Weights) -> DataFrame:
@@ -365,16 +411,25 @@ def link_groups(all_groups: DataFrame, linker: Linker, scratch: Scratch) -> None
     linker.add(scratch.keep(across, "across"))
 
 
-def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
-            threshold: float = SIMILARITY) -> DataFrame:
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows`` with the columns of their group; groups that hold much of all rows, 1 / HOT_SHARE at most, are broadcast."""
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = F.broadcast(groups.where(F.col(size) > max(1, total * HOT_SHARE)))
+    others = rows.join(hot.select(*keys), keys, "left_anti").join(groups, keys)
+    return rows.join(hot, keys).unionByName(others)
+
+
+def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text", threshold: float = SIMILARITY,
+            by_group: bool = False) -> DataFrame:
     """``row`` and ``class``, the smallest row of its class, for every stored document with words."""
     bounded_batches(stored.sparkSession)
-    weights = count_shingles(stored, text)
+    weights = count_shingles(stored, text, large_groups(stored, text, scratch) if by_group else None)
     signed = scratch.keep(signatures(stored, row, text, weights), "signatures")
-    copies = signed.groupBy("key_a", "key_b").agg(F.min("row").alias("first"))
-    copies = scratch.keep(
-        signed.select("row", "key_a", "key_b").join(copies, ["key_a", "key_b"]).select("row", "first"), "copies"
+    firsts = scratch.keep(
+        signed.groupBy("key_a", "key_b").agg(F.min("row").alias("first"), F.count("*").alias("n")), "firsts"
     )
+    keyed = signed.select("row", "key_a", "key_b")
+    copies = scratch.keep(with_groups(keyed, firsts, ["key_a", "key_b"], "n").select("row", "first"), "copies")
     distinct = signed.join(copies.where("row = first").select("row"), "row", "left_semi").select("row", "samples")
     distinct = scratch.keep(distinct, "distinct")
     bands = [F.xxhash64(F.lit(i), F.slice("samples", 1 + i * SAMPLES, SAMPLES)) for i in range(BANDS)]
@@ -384,17 +439,17 @@ def classes(stored: DataFrame, row: str, scratch: Scratch, text: str = "text",
     return linker.component(found, "node", "class").select("row", "class")
 
 
-def decide(documents: DataFrame, scratch: Scratch, text: str, identity: str,
-           threshold: float) -> tuple[DataFrame, DataFrame, str]:
+def decide(documents: DataFrame, scratch: Scratch, text: str, identity: str, threshold: float,
+           by_group: bool) -> tuple[DataFrame, DataFrame, str]:
     """The stored documents, their class by row, and the name of the row column."""
     row = free_name(documents, "_row")
     stored = scratch.keep(documents.withColumn(row, F.monotonically_increasing_id()), "documents")
-    found = classes(stored, row, scratch, text, threshold)
+    found = classes(stored, row, scratch, text, threshold, by_group)
     placed = stored.select(F.col(row).alias("row"), col(identity).alias("id")).join(found, "row", "left")
     placed = scratch.keep(placed.withColumn("class", F.coalesce("class", "row")), "placed")
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
-    chosen = placed.groupBy("class").agg(best.alias("best"), F.count("*").alias("class_size"))
-    decided = placed.join(chosen, "class").select(
+    chosen = scratch.keep(placed.groupBy("class").agg(best.alias("best"), F.count("*").alias("class_size")), "chosen")
+    decided = with_groups(placed, chosen, ["class"], "class_size").select(
         F.col("row").alias(row), F.col("best.id").alias("class_id"), "class_size",
         (F.col("row") == F.col("best.row")).alias("kept"),
     )
@@ -402,7 +457,7 @@ def decide(documents: DataFrame, scratch: Scratch, text: str, identity: str,
 
 
 def near_duplicates(documents: DataFrame, scratch: Scratch, text: str = "text", identity: str = "doc_id",
-                    threshold: float = SIMILARITY) -> DataFrame:
+                    threshold: float = SIMILARITY, by_group: bool = False) -> DataFrame:
     """``documents`` with ``class_id``, ``class_size`` and ``kept``.
 
     Documents whose weighted Jaccard similarity reaches ``threshold`` are linked, and linked documents are
@@ -410,21 +465,21 @@ def near_duplicates(documents: DataFrame, scratch: Scratch, text: str = "text",
     each class, that with the smallest id (of repeated ids the first row stored). Texts that differ only
     in case, spacing and ASCII punctuation are equal. Documents without words, null texts among them, are
     each a class of their own. Null ids come last. Empty input gives no rows. Input columns named like an
-    added one are replaced.
+    added one are replaced. ``by_group`` counts large groups of near copies once in the document frequencies.
     """
     columns = [c for c in documents.columns if c.lower() not in ("class_id", "class_size", "kept")]
-    stored, decided, row = decide(documents.select(*map(col, columns)), scratch, text, identity, threshold)
+    stored, decided, row = decide(documents.select(*map(col, columns)), scratch, text, identity, threshold, by_group)
     return stored.join(decided, row).drop(row)
 
 
 def one_of_each(documents: DataFrame, scratch: Scratch, text: str = "text", identity: str = "doc_id",
-                threshold: float = SIMILARITY) -> DataFrame:
+                threshold: float = SIMILARITY, by_group: bool = False) -> DataFrame:
     """One document of each class, in the columns given."""
-    stored, decided, row = decide(documents, scratch, text, identity, threshold)
+    stored, decided, row = decide(documents, scratch, text, identity, threshold, by_group)
     return stored.join(decided.where("kept").select(row), row, "left_semi").drop(row)
 
 
 def op9_icws_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The class of every document."""
     documents = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    return near_duplicates(documents, Scratch(spark)).select("doc_id", "class_id", "class_size", "kept")
+    return near_duplicates(documents, Scratch(spark), by_group=True).select("doc_id", "class_id", "class_size", "kept")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -111,3 +112,65 @@ def test_components_of_chains_and_stars(spark, scratch):
     assert len(found) == len(by_node)
     assert all(by_node[i] == 100 for i in range(100, 141))
     assert all(by_node[i] == 6 for i in (6, 7, *range(200, 260)))
+
+
+def grouped_weights(texts):
+    """Frequencies in which a document in a group of many equal smallest hashes counts as its share of it."""
+    sets = [np.unique(nd.shingles(w, nd.WORDS)) for w in hash_words(texts) if len(w)]
+    bands = [nd.group_keys(keys).tolist() for keys in sets]
+    sizes = Counter(key for own in bands for key in own)
+    least = max(2, len(texts) * nd.LARGE_SHARE)
+    counts, seen = np.zeros(1 << nd.CLASS_BITS, dtype=np.int64), 0
+    for keys, own in zip(sets, bands):
+        share = max(1, nd.UNIT // max([sizes[key] if sizes[key] >= least else 1 for key in own]))
+        np.add.at(counts, nd.class_of(keys), share)
+        seen += share
+    return nd.Weights(counts / nd.UNIT, seen / nd.UNIT, counts.sum() / nd.UNIT)
+
+
+def test_a_group_of_a_third_of_all_rows_stays_one_class(documents, scratch, monkeypatch):
+    """Members that differ by a word or two, at a plain similarity above 0.8, are one class however many they are."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    rows = []
+    for i in range(400):
+        if i % 3 == 0:
+            words = list(base)
+            words[rng.randrange(8, 92)] = f"x{i}"
+        else:
+            words = [f"w{rng.randrange(5000)}" for _ in range(rng.randrange(60, 140))]
+        rows.append((i, " ".join(words), "s"))
+    plain = nd.near_duplicates(documents(rows), scratch).where("kept").count()
+    found = nd.near_duplicates(documents(rows), scratch, by_group=True).collect()
+    monkeypatch.setitem(globals(), "weights_of", grouped_weights)
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute(rows)
+    assert {r["class_id"] for r in found if r["doc_id"] % 3 == 0} == {0}
+    assert plain > sum(r["kept"] for r in found) == 400 - 133
+
+
+def test_classes_by_group_agree_with_all_pairs(documents, scratch, monkeypatch):
+    rows = corpus(4)
+    found = nd.near_duplicates(documents(rows), scratch, by_group=True).collect()
+    monkeypatch.setitem(globals(), "weights_of", grouped_weights)
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute(rows)
+
+
+def test_registered_query_agrees_with_all_pairs(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"], "s") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    found = {r["doc_id"]: r["class_id"] for r in nd.op9_icws_near_dedup(spark, folder).collect()}
+    monkeypatch.setitem(globals(), "weights_of", grouped_weights)
+    assert found == brute(rows)
+
+
+def test_hot_copies_are_looked_up_by_broadcast(spark, documents, scratch, capsys):
+    rows = documents([(i, "the very same text of some words" if i % 3 else f"text number {i} of its own", "s") for i in range(300)])
+    groups = rows.groupBy("text").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = nd.with_groups(rows, groups, ["text"], "count")
+        joined.explain("formatted")
+        assert joined.where("count = 200").count() == 200 and joined.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    assert "BroadcastHashJoin" in capsys.readouterr().out

@@ -34,7 +34,7 @@ def test_stages_keep_columns_and_take_effect(spark, scratch, documents):
         rows = docs.collect()
         assert docs.columns[: len(columns)] == columns
         if stage is corpus_pipeline.dedup:
-            again = near_dedup.near_duplicates(docs, scratch)
+            again = near_dedup.near_duplicates(docs, scratch, by_group=True)
             assert again.where("kept").count() == len(rows)
         if stage is corpus_pipeline.decontaminate:
             index = Index(benchmark, Rule())
