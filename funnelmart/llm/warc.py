@@ -4,7 +4,8 @@ Records are written by Spark's text writer with the record terminator as line se
 any store that Spark reaches. Of captures with equal payloads one is a response, the others revisit it.
 Reading goes by Content-Length, and gives one run of index rows per archive, sorted by URL key and time.
 Runs are cut at common boundaries, and each slice of the key space is merged from its parts of all runs
-by a loser tree.
+by a loser tree. The parts arrive run by run and in the order their run has, by the number that each row was given there, so
+nothing is sorted by key again; more parts than FAN_IN are merged in rounds.
 """
 
 from __future__ import annotations
@@ -31,13 +32,15 @@ ID_PREFIX = "urn:x-page:"
 RECORDS_PER_FILE = 1000
 LARGE_PAYLOAD = 256 << 10  # longer payloads get an archive each, so no archive is too large to be read
 SLICE_ROWS = 50_000  # expected index rows merged in one task
+FAN_IN = 256  # parts that one tree merges
+HOT_SHARE = 1 / 200  # payloads of more than this share of all captures are looked up in a broadcast
 BROADCAST_ROWS = 200_000
 EPOCH = 1704067200  # captures without a time are dated by their id, in seconds from 2024 on
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 RADIX32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 # ids travel as text: pandas would make doubles of whole numbers with nulls among them
-INDEX = ("run string, url_key string, captured string, page_id string, url string, record_type string, "
+INDEX = ("run string, seq bigint, url_key string, captured string, page_id string, url string, record_type string, "
          "refers_to string, payload_bytes bigint, payload_digest string, intact boolean, place bigint")
 
 
@@ -62,11 +65,10 @@ def captures(pages: DataFrame, least_bytes: int = 0, page: str = "page_id", url:
     )
     same = (
         rows.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes")
-        .agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
+        .agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1")
         .withColumnsRenamed({"payload_digest": "of_digest", "payload_bytes": "of_bytes"})
     )
-    met = (F.col("payload_digest") == F.col("of_digest")) & (F.col("payload_bytes") == F.col("of_bytes"))
-    joined = rows.join(broadcast_if(same, BROADCAST_ROWS), met, "left").drop("of_digest", "of_bytes")
+    joined = with_response(rows, same)
     revisit = F.col("response").isNotNull() & ~F.col("response").eqNullSafe(F.col("page_id"))
     return joined.select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
@@ -75,6 +77,22 @@ def captures(pages: DataFrame, least_bytes: int = 0, page: str = "page_id", url:
     )
 
 
+def with_response(rows: DataFrame, same: DataFrame) -> DataFrame:
+    """``rows`` with the ``response`` of their payload, null where no other capture has it.
+
+    Few payloads that repeat are broadcast. Of many, those of a large share of all captures are, the empty one among them,
+    and payloads meet the others in a join that no payload is hot in.
+    """
+    met = (F.col("payload_digest") == F.col("of_digest")) & (F.col("payload_bytes") == F.col("of_bytes"))
+    least = 0 if same.count() <= BROADCAST_ROWS else rows.count() * HOT_SHARE
+    hot = F.broadcast(same.where(F.col("n") > least))
+    found = rows.join(hot, met, "left" if least == 0 else "inner")
+    if least:
+        others = rows.join(hot, met, "left_anti").join(same.where(F.col("n") <= least), met, "left")
+        found = found.unionByName(others)
+    return found.drop("of_digest", "of_bytes", "n")
+
+
 def record(row: dict[str, Column]) -> Column:
     """The text of a record, without its end."""
     url = row["url"]
@@ -172,7 +190,7 @@ def index_row(run: str, place: int, headers: dict[str, str], block: bytes) -> tu
         size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
         intact = digest == stated
     url = headers.get("warc-target-uri", "")
-    return (run, url_key(url), headers.get("warc-date", ""), page_of(headers.get("warc-record-id", "")), url, kind,
+    return (run, 0, url_key(url), headers.get("warc-date", ""), page_of(headers.get("warc-record-id", "")), url, kind,
             page_of(headers["warc-refers-to"]) if "warc-refers-to" in headers else None, size, digest, intact, place)
 
 
@@ -184,8 +202,8 @@ def read_runs(spark: SparkSession, folders: list[str]) -> DataFrame:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 rows = [index_row(path, *r) for r in records(content)]
-                rows.sort(key=lambda r: order_of(r[1], r[2], r[3]))
-                yield pd.DataFrame(rows, columns=names)
+                rows.sort(key=lambda r: order_of(*r[2:5]))
+                yield pd.DataFrame(rows, columns=names).assign(seq=range(len(rows)))
 
     return spark.read.format("binaryFile").load(folders).select("path", "content").mapInPandas(read, INDEX)
 
@@ -234,30 +252,36 @@ class LoserTree:
             self.replay(run)
 
 
+def merge_parts(parts: list[list]) -> list:
+    """All items of sorted parts in order; equal ones in the order of their parts. At most FAN_IN parts at a time."""
+    while len(parts) > FAN_IN:
+        parts = [list(LoserTree(parts[at: at + FAN_IN])) for at in range(0, len(parts), FAN_IN)]
+    return list(LoserTree(parts))
+
+
 def merged_index(runs: DataFrame, scratch: Scratch) -> DataFrame:
     """All index rows with ``position``, their place (from 1) in the order of URL key, time and page.
 
-    Slices of the key space are chosen so that each holds some SLICE_ROWS rows; since time and page are part
-    of the key, one URL may span many. Rows that are equal in all three keep the order of their runs.
+    Slices of the key space are chosen so that each holds some SLICE_ROWS rows; since time, page, run and the place in it
+    are part of the key, one URL may span many, and so may rows that are equal in all three, which keep the order of
+    their runs.
     """
     slices = max(1, runs.count() // SLICE_ROWS)
     names = runs.columns
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts: dict[str, list] = {}
         frames = [pdf for pdf in batches if len(pdf)]
         if not frames:
             return
         whole = pd.concat(frames, ignore_index=True)
+        parts: dict[str, list] = {}
         for i, (run, *key) in enumerate(zip(whole["run"], whole["url_key"], whole["captured"], whole["page_id"])):
             parts.setdefault(run, []).append((order_of(*key), i))
-        # a run's rows may arrive in several pieces
-        merged = LoserTree([sorted(parts[run]) for run in sorted(parts)])
-        out = whole.iloc[[i for _, i in merged]]
+        out = whole.iloc[[i for _, i in merge_parts(list(parts.values()))]]
         yield out.assign(slice=TaskContext.get().partitionId(), rank=range(1, len(out) + 1))
 
-    keys = [F.asc("url_key"), F.asc("captured"), F.col("page_id").cast("bigint").asc_nulls_first()]
-    dealt = runs.repartitionByRange(slices, *keys)
+    keys = [F.asc("url_key"), F.asc("captured"), F.col("page_id").cast("bigint").asc_nulls_first(), F.asc("run"), F.asc("seq")]
+    dealt = runs.repartitionByRange(slices, *keys).sortWithinPartitions("run", "seq")
     merged = scratch.keep(dealt.mapInPandas(merge, f"{INDEX}, slice int, rank bigint"), "merged")
     before = W.orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     starts = merged.groupBy("slice").agg(F.count("*").alias("n")).select(

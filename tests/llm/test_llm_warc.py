@@ -93,3 +93,40 @@ def test_query_covers_every_page(spark):
     rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
     found = QUERIES["op7_warc_index_merge"](spark, folder).collect()
     assert sorted(map(str, plain(found))) == sorted(map(str, expected(rows)))
+
+
+def test_many_parts_merge_in_rounds(monkeypatch):
+    monkeypatch.setattr(warc, "FAN_IN", 3)
+    rng = np.random.default_rng(1)
+    parts = [[(x, run) for x in sorted(rng.integers(0, 9, rng.integers(0, 6)).tolist())] for run in range(40)]
+    keyed = [[(x, run * 100 + i) for i, (x, _) in enumerate(part)] for run, part in enumerate(parts)]
+    assert warc.merge_parts(keyed) == sorted(x for part in keyed for x in part)
+    assert warc.merge_parts([]) == []
+
+
+def test_rows_of_one_key_are_split_and_keep_their_order(spark, scratch, monkeypatch):
+    monkeypatch.setattr(warc, "SLICE_ROWS", 30)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 25)
+    rows = [(1, "http://hot.example.com/", "same") for _ in range(300)]
+    found = warc.archived(pages(spark, rows), scratch).collect()
+    assert sorted(r["position"] for r in found) == list(range(1, 301))
+    ordered = [(r["run"], r["seq"]) for r in sorted(found, key=lambda r: r["position"])]
+    assert ordered == sorted(ordered) and len({run for run, _ in ordered}) > 3
+
+
+def test_runs_are_numbered_in_order(spark, scratch):
+    runs = warc.read_runs(spark, warc.write_archives(warc.captures(pages(spark, ROWS)), scratch.path("archives")))
+    kept = scratch.keep(runs, "runs")
+    for run in {r["run"] for r in kept.collect()}:
+        own = sorted((r for r in kept.collect() if r["run"] == run), key=lambda r: r["seq"])
+        keys = [warc.order_of(r["url_key"], r["captured"], r["page_id"]) for r in own]
+        assert keys == sorted(keys) and [r["seq"] for r in own] == list(range(len(own)))
+
+
+def test_many_repeated_payloads_join_without_a_hot_one(spark, monkeypatch):
+    rows = [(i, "u", "" if i % 3 == 0 else f"p{i % 50}") for i in range(300)] + [(1000, "u", "alone")]
+    names = ("page_id", "record_type", "refers_to")
+    wanted = sorted(map(str, ([r[n] for n in names] for r in warc.captures(pages(spark, rows)).collect())))
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(warc, "HOT_SHARE", 1 / 20)
+    assert sorted(map(str, ([r[n] for n in names] for r in warc.captures(pages(spark, rows)).collect()))) == wanted
