@@ -46,6 +46,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             .unionAll(small.select("u", F.col("m").alias("v")))
             .where("u <> v").distinct()
         )
+    else:
+        raise RuntimeError(f"links did not become stars in {MOST_ROUNDS} rounds")
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = state.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionAll(roots)

@@ -197,7 +197,9 @@ def fitted(documents: DataFrame, rows: DataFrame, text: str = "text", identity:
     model = Model(lexicon, scores, decay(scores, shares / shares.sum()), (0.0, 0.0))
 
     evidence = evidence_column(documents.sparkSession, model, F.col("text"))
-    scored = known.select("label", evidence.alias("x")).limit(2 * MOST_LABELLED).toPandas()
+    # repeated ids may be more rows than labels; those taken are told by a hash, and come in one order
+    order = [F.xxhash64("id"), "id", "label", "x"]
+    scored = known.select("id", "label", evidence.alias("x")).orderBy(*order).limit(2 * MOST_LABELLED).toPandas()
     x = np.log1p(scored["x"].to_numpy())
     line = logistic(np.stack([np.ones(len(x)), x], axis=1), (scored["label"] == 1).to_numpy().astype(float), 1e-4)
     return Model(lexicon, scores, model.decay, (float(line[0]), max(float(line[1]), 0.0)))
