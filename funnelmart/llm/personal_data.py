@@ -4,21 +4,26 @@ Four kinds of spans are defined by exact patterns and always kept. Further candi
 addresses, numbers and names, are proposed widely, and labelers vote on every candidate: patterns, word
 lists, the words before it, checksums. Nobody labels any of it by hand: expectation-maximisation over all
 votes in the corpus estimates how reliable each labeler is, and the probabilities it gives train a logistic
-classifier of spans, which decides which candidates are added.
+classifier of spans, which decides which candidates are added. The classifier sees more than the votes: the span's shape
+and length, its first and last word and the words around it, hashed.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_right, insort
+from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from funnelmart.llm.labelled import logistic
+from funnelmart.llm.labelled import MOST_LABELLED, logistic
 from funnelmart.llm.store import Scratch, bounded_batches, col, free_name, text_of
 
 BASE = ("email", "ip", "card", "phone")
@@ -52,7 +57,16 @@ DIGIT = re.compile(r"[0-9]")
 # Word lists: fixed values.
 FIRST_NAMES = frozenset(
     "james john robert michael william david richard joseph thomas charles mary patricia jennifer linda elizabeth "
-    "barbara susan jessica sarah karen hans peter klaus anna maria pierre jean marie luc carlos jose juan carmen".split()
+    "barbara susan jessica sarah karen hans peter klaus anna maria pierre jean marie luc carlos jose juan carmen "
+    "daniel matthew anthony mark donald steven paul andrew joshua kenneth kevin brian george edward ronald timothy jason "
+    "jeffrey ryan jacob gary nicholas eric jonathan stephen larry justin scott brandon benjamin samuel frank gregory "
+    "lisa nancy betty margaret sandra ashley kimberly emily donna michelle carol amanda dorothy melissa deborah "
+    "stephanie rebecca sharon laura cynthia kathleen amy angela shirley emma brenda pamela nicole helen samantha "
+    "katherine christine rachel olivia sophia julia jürgen wolfgang heinz helmut werner günter dieter manfred uwe "
+    "ursula monika petra sabine renate helga karin brigitte ingrid claudia andreas stefan markus christian matthias "
+    "philippe michel alain bernard jacques françois nicolas laurent sylvie nathalie isabelle catherine françoise monique "
+    "antonio manuel francisco javier miguel pedro alejandro fernando pablo luis ana isabel dolores pilar lucía elena "
+    "teresa rosa cristina".split()
 )
 CUES = frozenset(
     "email mail e-mail contact call phone tel telephone mobile fax cell reach card account iban ssn passport name "
@@ -65,7 +79,12 @@ LABELERS = ("base", "shape", "list", "cue", "calm", "checksum")
 YES, NO, ABSTAIN = "+", "-", "0"
 ACCEPT = 0.5
 ROUNDS = 50
-SPAN = "struct<kind: string, start: int, end: int, pattern: string>"
+TRAITS = 256  # hashed features of a span besides its votes
+SPANS_A_PATTERN = 200  # spans of each kind and votes that the classifier is fitted on, each counting for its share
+RIDGE = 1e-4  # on the weights of traits, for the mean loss of a span
+FIRM = 100.0  # votes are written this large, so that the ridge does not hold their weights back
+SPAN = "struct<kind: string, start: int, end: int, pattern: string, traits: array<int>>"
+RATED = "struct<kind: string, start: int, end: int, chance: double>"
 
 
 def luhn(digits: str) -> bool:
@@ -169,7 +188,20 @@ def apart(spans: list[tuple[float, int, int, int]]) -> list[int]:
     return sorted(out)
 
 
-def votes(text: str, kind: str, start: int, end: int) -> str:
+def traits(text: str, kind: str, start: int, end: int) -> list[int]:
+    """Hashed features of a span and its surroundings, whatever the labelers make of it."""
+    span = text[start: min(end, start + 200)]
+    shape = re.sub(r"[0-9]", "9", re.sub(r"[^\W\d_]+", lambda m: "Aa" if m[0][0].isupper() else "a", span))
+    parts = span.lower().split()
+    before = re.findall(r"\w+", text[max(0, start - 40): start].lower())[-2:]
+    after = re.findall(r"\w+", text[end: end + 40].lower())[:1]
+    found = [f"shape {shape[:24]}", f"size {min(end - start, 200).bit_length()}", f"next {text[end: end + 1]}", f"close {text[max(0, start - 1): start]}"]
+    found += [f"first {parts[0][:20]}", f"last {parts[-1][:20]}"] if parts else []
+    found += [f"before {w[:20]}" for w in before] + [f"after {w[:20]}" for w in after]
+    return sorted({zlib.crc32(f"{kind} {x}".encode()) % TRAITS for x in found})
+
+
+def votes(text: str, kind: str, start: int, end: int, first_names: frozenset[str] = FIRST_NAMES) -> str:
     """One vote per labeler on a span: yes, no or abstain."""
     span = text[start:end]
     digits = digits_of(span)
@@ -181,7 +213,7 @@ def votes(text: str, kind: str, start: int, end: int) -> str:
         shape = YES if len(span) < 80 else NO
     listed = ABSTAIN
     if kind == "name":
-        listed = YES if span.split()[0].lower() in FIRST_NAMES else NO
+        listed = YES if span.split()[0].lower() in first_names else NO
     elif kind in ("email", "spelled_email"):
         listed = YES if span.lower().rsplit("." if "." in span else " ", 1)[-1] in ("com", "org", "net", "edu", "de", "fr", "es") else ABSTAIN
     checked = ABSTAIN
@@ -253,33 +285,73 @@ def probabilities(patterns: list[tuple[str, str, int]]) -> list[float]:
     return (1 / (1 + np.exp(-x @ w))).tolist()
 
 
-def spans_column(text: Column) -> Column:
-    """Base spans and candidates of a text, in one pass; each with the votes on it."""
+@dataclass(frozen=True)
+class Spans:
+    """A classifier of spans: a part of its logit by (kind, votes), and weights of hashed traits."""
+
+    by_votes: dict[tuple[str, str], float]
+    weights: np.ndarray
+
+    def chance(self, spans: str) -> Column:
+        """``spans`` of ADDED kinds rated natively, those below ACCEPT left out."""
+        known = {key: logit for key, logit in self.by_votes.items() if key[0] in ADDED}
+        logits = F.create_map(*[F.lit(x) for (kind, pattern), logit in known.items() for x in (f"{kind} {pattern}", logit)])
+        weights = F.array(*[F.lit(float(w)) for w in self.weights])
+
+        def rated(s: Column) -> Column:
+            own = F.aggregate(s["traits"], F.lit(0.0), lambda sum_, t: sum_ + F.element_at(weights, t + 1))
+            logit = F.coalesce(F.element_at(logits, F.concat_ws(" ", s["kind"], s["pattern"])), F.lit(-30.0)) + own
+            return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), (1 / (1 + F.exp(-logit))).alias("chance"))
+
+        return F.filter(F.transform(F.filter(spans, lambda s: s["kind"].isin(*ADDED)), rated), lambda s: s["chance"] >= ACCEPT)
+
+
+def fit_spans(rows: list[tuple[str, str, int]], sample: list[tuple[str, str, list[int]]]) -> Spans:
+    """Fitted to the probabilities of (kind, votes, count) on spans (kind, votes, traits) that stand for them.
+
+    Every pattern weighs as its count says, however many of its spans are in the sample.
+    """
+    belief = {(kind, votes_): p for (kind, votes_, _), p in zip(rows, beliefs(rows))}
+    count = {(kind, votes_): n for kind, votes_, n in rows}
+    drawn = Counter((kind, votes_) for kind, votes_, _ in sample)
+    x = np.zeros((len(sample), len(describe(KINDS[0], ABSTAIN * len(LABELERS))) + TRAITS))
+    for line, (kind, votes_, own) in zip(x, sample):
+        base = describe(kind, votes_)
+        line[: len(base)] = FIRM * np.array(base)
+        line[len(base) + np.array(own, dtype=int)] = 1.0
+    n = np.array([count[k, v] / drawn[k, v] for k, v, _ in sample])
+    truth = np.array([belief[k, v] for k, v, _ in sample])
+    both = np.concatenate([np.ones(len(x)), np.zeros(len(x))])
+    w = logistic(np.concatenate([x, x]), both, ridge=RIDGE, weight=np.concatenate([truth * n, (1 - truth) * n]))
+    base = len(w) - TRAITS
+    return Spans({(kind, v): FIRM * float(np.dot(describe(kind, v), w[:base])) for kind, v, _ in rows}, w[base:])
+
+
+def spans_column(text: Column, first_names: frozenset[str] = FIRST_NAMES) -> Column:
+    """Base spans and candidates of a text, in one pass; each with the votes on it and its traits."""
 
     @F.pandas_udf(f"array<{SPAN}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names = ("kind", "start", "end", "pattern")
+        names = ("kind", "start", "end", "pattern", "traits")
         for texts in batches:
             out = []
             for t in texts:
                 base = base_spans(t)
-                out.append([dict(zip(names, (*s, votes(t, *s)))) for s in [*base, *candidates(t, base)]])
+                out.append([dict(zip(names, (*s, votes(t, *s, first_names), traits(t, *s)))) for s in [*base, *candidates(t, base)]])
             yield pd.Series(out, dtype=object)
 
     return find(text)
 
 
-def apart_column(spans: Column, chances: dict[str, float]) -> Column:
-    """``spans`` (all accepted) without those that overlap a better one; ``chances`` by kind and votes."""
+def apart_column(spans: Column) -> Column:
+    """``spans`` (all accepted) without those that overlap a better one."""
 
-    @F.pandas_udf(f"array<{SPAN}>")
+    @F.pandas_udf(f"array<{RATED}>")
     def resolve(rows: pd.Series) -> pd.Series:
         out = []
         for found in rows:
             found = [s if isinstance(s, dict) else s.asDict() for s in found]
-            kept = apart([
-                (chances[f"{s['kind']} {s['pattern']}"], KINDS.index(s["kind"]), s["start"], s["end"]) for s in found
-            ])
+            kept = apart([(s["chance"], KINDS.index(s["kind"]), s["start"], s["end"]) for s in found])
             out.append([found[i] for i in kept])
         return pd.Series(out, dtype=object)
 
@@ -287,35 +359,42 @@ def apart_column(spans: Column, chances: dict[str, float]) -> Column:
 
 
 def with_personal_data(documents: DataFrame, scratch: Scratch, text: str = "text", name: str = "spans",
-                       columns: list[str] | None = None) -> DataFrame:
+                       columns: list[str] | None = None, first_names: frozenset[str] = FIRST_NAMES) -> DataFrame:
     """``documents`` (or these ``columns`` of it) with ``name``: the personal spans of each, by start and kind.
 
     A span is (start, rank of its kind, end, kind); places are code points, the end exclusive. Base spans are all there; added spans
     overlap no base span and, the likelier going first, not one another.
     Null and empty texts have none; repeated rows have the same. The votes of all spans in all documents
-    are counted by pattern, of which there are at most 7 kinds times 3 to the power of the labelers. A
+    are counted by pattern, of which there are at most 7 kinds times 3 to the power of the labelers. The classifier is fitted on
+    at most SPANS_A_PATTERN spans of each pattern and MOST_LABELLED in all, chosen by a hash; ``first_names`` is the list of names. A
     column of ``documents`` with that name is replaced; empty input gives no rows.
     """
     bounded_batches(documents.sparkSession)
     kept = [c for c in (documents.columns if columns is None else columns) if c.lower() != name.lower()]
     own = free_name(documents, "_spans")
-    found = scratch.keep(documents.select(*map(col, kept), spans_column(text_of(text)).alias(own)), "spans")
-    counted = found.select(F.explode(own).alias("s")).groupBy("s.kind", "s.pattern").agg(F.count("*").alias("n"))
+    found = scratch.keep(documents.select(*map(col, kept), spans_column(text_of(text), first_names).alias(own)), "spans")
+    every = found.select(F.explode(own).alias("s")).select("s.*")
+    counted = every.groupBy("kind", "pattern").agg(F.count("*").alias("n"))
     rows = sorted((r["kind"], r["pattern"], r["n"]) for r in counted.collect())
-    chances = {f"{kind} {pattern}": p for (kind, pattern, _), p in zip(rows, probabilities(rows))}
-    good = [f"{kind} {pattern}" for kind, pattern in accepted(rows) if kind in ADDED]
     place = F.array(*map(F.lit, KINDS))
-    chosen = F.filter(own, lambda s: s["kind"].isin(*BASE))
-    if good:
-        takes = F.array(*map(F.lit, good))
-        added = F.filter(own, lambda s: F.array_contains(takes, F.concat_ws(" ", s["kind"], s["pattern"])))
-        chosen = F.concat(chosen, apart_column(added, chances))
+    chosen = F.transform(F.filter(own, lambda s: s["kind"].isin(*BASE)), plain_span)
+    if any(kind in ADDED for kind, *_ in rows):
+        order = W.partitionBy("kind", "pattern").orderBy(F.xxhash64("start", "end", "traits"), "start", "end", "traits")
+        most = max(1, min(SPANS_A_PATTERN, MOST_LABELLED // len(rows)))
+        taken = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+        sample = sorted((r["kind"], r["pattern"], list(r["traits"])) for r in taken.select("kind", "pattern", "traits").collect())
+        added = apart_column(fit_spans(rows, sample).chance(own))
+        chosen = F.concat(chosen, F.transform(added, plain_span))
     ordered = F.array_sort(F.transform(chosen, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(place, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")
     )))
     return found.select(*map(col, kept), ordered.alias(name))
 
 
+def plain_span(s: Column) -> Column:
+    return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
+
+
 def of_kinds(spans: str, *kinds: str) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(*kinds))
 

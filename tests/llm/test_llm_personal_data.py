@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -157,3 +158,30 @@ def test_long_runs_are_odd_rows_like_others(spark, documents, scratch):
     found = {r["doc_id"]: r["spans"] for r in pd.with_personal_data(documents(rows), scratch).collect()}
     assert not found[1] and not found[3]
     assert [(s["kind"], s["start"], s["end"]) for s in found[2]] == [("email", 200_001, 200_007)]
+
+
+def test_classifier_learns_from_what_stands_around():
+    """Two sorts of numbers on which no labeler votes alike are told apart by the words before them, seen with votes elsewhere."""
+    phone = [("number", "0+0+00", pd.traits(f"call me at 555-0{i:02d}-1234 now", "number", 11, 23)) for i in range(80)]
+    other = [("number", "0-00--", pd.traits(f"see page no {i:02d}-000 there", "number", 12, 18)) for i in range(80)]
+    unsure = [("number", "000000", pd.traits(f"call me at 555-7{i:02d}-1234 now", "number", 11, 23)) for i in range(40)]
+    rows = [("number", "0+0+00", 800), ("number", "0-00--", 800), ("number", "000000", 40), ("phone", "++0+00", 500)]
+    base = [("phone", "++0+00", pd.traits(f"call me at +1 (988) 555-24{i:02d}", "phone", 11, 28)) for i in range(80)]
+    model = pd.fit_spans(rows, phone + other + unsure + base)
+
+    def chance(kind, votes, own):
+        return 1 / (1 + math.exp(-model.by_votes[kind, votes] - sum(model.weights[t] for t in own)))
+
+    assert min(chance(*x) for x in phone) > 0.5 > max(chance(*x) for x in other)
+    page = pd.traits("see page no 55-000 there", "number", 12, 18)
+    assert chance("number", "000000", unsure[0][2]) > chance("number", "000000", page)
+
+
+def test_the_list_of_names_is_a_parameter(documents, scratch):
+    rows = [(i, f"call Mr Zorblax Quux; fine words {i}", "s") for i in range(30)]
+    rows += [(100 + i, f"Green Field and Blue Water were Quite Nice in {i}", "s") for i in range(60)]
+    rows += [(200 + i, f"write to a{i}@b.com or phone +1 (988) 555-2485", "s") for i in range(20)]
+    found = pd.with_personal_data(documents(rows), scratch, first_names=frozenset(["zorblax"])).collect()
+    for r in found:
+        names = [r["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "name"]
+        assert names == (["Zorblax Quux"] if r["doc_id"] < 100 else [])
