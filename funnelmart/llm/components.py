@@ -12,13 +12,19 @@ MOST_ROUNDS = 60
 
 def stars(links: DataFrame) -> bool:
     """Whether no node has two smaller neighbours, or a smaller and a larger one."""
-    ends = links.select("u", F.lit(1).alias("as_u"), F.lit(0).alias("as_v")).unionAll(
-        links.select("v", F.lit(0), F.lit(1))
-    )
+    one, none = F.lit(1), F.lit(0)
+    ends = links.select(F.inline(F.array(
+        F.struct("u", one.alias("as_u"), none.alias("as_v")), F.struct(F.col("v").alias("u"), none.alias("as_u"), one.alias("as_v")),
+    )))
     counted = ends.groupBy("u").agg(F.sum("as_u").alias("as_u"), F.max("as_v").alias("as_v"))
     return counted.where("as_u > 1 or (as_u = 1 and as_v = 1)").isEmpty()
 
 
+def both_ways(links: DataFrame) -> DataFrame:
+    """Every link (u, v) in either direction, in one pass."""
+    return links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``node`` and ``component``, the smallest node it reaches, for every node of ``links`` (a, b).
 
@@ -35,17 +41,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         if stars(state):
             break
-        both = state.unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both_ways(state)
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        # every link gives one row here at most, so equal rows can wait for the end of the round
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u")
-        state = rounds.keep(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionAll(small.select("u", F.col("m").alias("v")))
-            .where("u <> v").distinct()
-        )
+        pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+        state = rounds.keep(small.select(F.inline(pairs)).where("u <> v").distinct())
     else:
         raise RuntimeError(f"links did not become stars in {MOST_ROUNDS} rounds")
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,8 +96,16 @@ class Weights:
 
     def __init__(self, counts: np.ndarray, documents: float, shingled: float):
         load = shingled / len(counts)  # what a class holds on average of shingles that don't matter
-        share = (counts - load) / max(documents, 1)
-        self.idf = (1 - np.log(np.clip(share, LEAST_SHARE, 1.0))).astype(np.float64)
+        self.idf = idf = np.asarray(counts - load, dtype=np.float64)  # in place: the driver holds few copies
+        idf /= max(documents, 1)
+        np.subtract(1, np.log(np.clip(idf, LEAST_SHARE, 1.0, out=idf), out=idf), out=idf)
+        self._sent: Broadcast | None = None
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """These weights on the executors; sent once, whatever the number of uses."""
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(self)
+        return self._sent
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The weighted set of a document: shingles in ascending order, and their weights."""
@@ -191,7 +200,7 @@ def count_shingles(documents: DataFrame, text: str, groups: dict[int, int] | Non
 
 def signatures(stored: DataFrame, row: str, text: str, weights: Weights) -> DataFrame:
     """Per document with words: its row, a key of its words in order, and its samples."""
-    sent = stored.sparkSession.sparkContext.broadcast(weights)
+    sent = weights.sent(stored.sparkSession)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -214,7 +223,7 @@ def signatures(stored: DataFrame, row: str, text: str, weights: Weights) -> Data
 
 def compare(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
     """``pairs`` (a, b) with their exact similarity, as ``sim``; ``texts`` has ``row`` and ``text``."""
-    sent = texts.sparkSession.sparkContext.broadcast(weights)
+    sent = weights.sent(texts.sparkSession)
     full = (
         pairs.select("a", "b").join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
         .join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
@@ -236,7 +245,7 @@ def compare(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
 
 def fine_samples(texts: DataFrame, weights: Weights) -> DataFrame:
     """``row`` and FINE samples of each of these documents (``row``, ``text``)."""
-    sent = texts.sparkSession.sparkContext.broadcast(weights)
+    sent = weights.sent(texts.sparkSession)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -286,7 +295,7 @@ def links_across(placed: DataFrame, fine: DataFrame, texts: DataFrame, weights:
         "grp", F.lit(False).alias("asks"), "member", "part",
         F.explode(F.sequence(first, F.col("ys") - 1)).alias("y"), F.pmod(F.xxhash64("member"), "xs").alias("x"),
     )
-    sent = texts.sparkSession.sparkContext.broadcast(weights)
+    sent = weights.sent(texts.sparkSession)
 
     def compare_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
@@ -337,7 +346,6 @@ class Linker:
     def __init__(self, stored: DataFrame, row: str, text: str, weights: Weights, threshold: float, scratch: Scratch):
         self.texts = stored.select(F.col(row).alias("row"), text_of(text).alias("text"))
         self.weights, self.threshold, self.scratch = weights, threshold, scratch
-        self.links: DataFrame | None = None
         self.parts: DataFrame | None = None
 
     def component(self, rows: DataFrame, name: str, out: str) -> DataFrame:
@@ -366,9 +374,21 @@ class Linker:
         return pairs
 
     def add(self, links: DataFrame) -> None:
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.links.unionAll(links)
-            self.parts = self.scratch.keep(components(self.links, self.scratch), "parts")
+        """Join the components that these links (a, b) connect; earlier links are not gone through again."""
+        if links.isEmpty():
+            return
+        if self.parts is None:
+            self.parts = self.scratch.keep(components(links, self.scratch), "parts")
+            return
+        between = self.component(self.component(links, "a", "_a"), "b", "_b")
+        between = between.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        joined = self.scratch.keep(components(between, self.scratch), "joined")
+        found = joined.select(F.col("node").alias("component"), F.col("component").alias("_joined"))
+        moved = self.parts.join(found, "component", "left").select(
+            "node", F.coalesce("_joined", "component").alias("component")
+        )
+        new = joined.join(self.parts, "node", "left_anti").select("node", "component")
+        self.parts = self.scratch.keep(moved.unionAll(new), "parts")
 
     def link(self, likely: DataFrame) -> None:
         """Compare likely pairs (a, b, agree), unless their ends are joined already.

@@ -174,3 +174,28 @@ def test_hot_copies_are_looked_up_by_broadcast(spark, documents, scratch, capsys
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
     assert "BroadcastHashJoin" in capsys.readouterr().out
+
+
+def test_joined_links_are_not_gone_through_again(spark, scratch, monkeypatch):
+    given = []
+
+    def counted(links, own):
+        given.append(links.where("a <> b").count())
+        return components(links, own)
+
+    monkeypatch.setattr(nd, "components", counted)
+    linker = nd.Linker(spark.createDataFrame([], "row bigint, text string"), "row", "text", None, nd.SIMILARITY, scratch)
+    for links in ([(i, i + 1) for i in range(10)] + [(40, 41)], [(3, 8), (9, 20), (12, 30), (30, 31)], [(5, 31), (41, 2)]):
+        linker.add(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert given == [11, 3, 2]
+    parts = [tuple(r) for r in linker.parts.select("node", "component").collect()]
+    assert sorted(parts) == [(i, 0) for i in [*range(11), 12, 20, 30, 31, 40, 41]]
+
+
+def test_weights_are_sent_once(spark, scratch, documents, monkeypatch):
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(type(value)), broadcast(self, value))[1]
+    )
+    nd.near_duplicates(documents(corpus()), scratch).count()
+    assert sent.count(nd.Weights) == 1
